@@ -34,6 +34,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 _YOU = re.compile(r"\b(?:you|du|tu|vous|usted)\b[^.\n]{0,40}\b(?:are|bist|es|êtes)\b", re.I)
 _SHOUT = re.compile(r"!{2,}")
 STATISTICS = 4
+LEAST_RATIO = 26.0
 
 
 def stems_of(word: str) -> list[str]:
@@ -117,7 +118,8 @@ def label_model(votes: np.ndarray, share: float, start: np.ndarray, rounds: int
 
     A voter's parameters are its rates of voting in both classes. Not voting is no evidence, as a lexicon of another
     language says nothing. After each round of expectation maximisation, correlations of votes within a class beyond what
-    independence gives make up a factor for each voter, one over one plus their sum.
+    independence gives make up a factor for each voter, one over one plus their sum. Of the voters that speak on a row,
+    the strongest counts in full and the others by their factors: voters that always agree are worth one voter, not less.
     """
     cast = (votes != 0).astype(float)
     n, m = votes.shape
@@ -126,7 +128,10 @@ def label_model(votes: np.ndarray, share: float, start: np.ndarray, rounds: int
     q = np.full(n, share)
     p1 = p0 = np.full(m, 0.5)
     for _ in range(rounds):
-        q = 1 / (1 + np.exp(-np.clip(prior + cast @ (llr * trust), -30, 30)))
+        said = cast * llr
+        top = np.abs(said).argmax(axis=1)
+        strongest = said[np.arange(n), top] * (1 - trust[top])
+        q = 1 / (1 + np.exp(-np.clip(prior + said @ trust + strongest, -30, 30)))
         a, b = q.sum(), (1 - q).sum()
         p1, p0 = (q @ cast + 0.5) / (a + 1), ((1 - q) @ cast + 0.5) / (b + 1)
         llr = np.log(p1 / p0)
@@ -199,7 +204,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 16_000,
         on = hits[:, j] > 0
         t, c = len(set(sketch[on & (truth == 1)].tolist())), len(set(sketch[on & (truth == 0)].tolist()))
         lift = np.log((t + 0.5) / (total[1] + 1)) - np.log((c + 0.5) / (total[0] + 1))
-        if t >= max(2, total[1] // 150) and lift > 2.0:
+        share1, both = total[1] / (total[0] + total[1]), t + c
+        # likelihood ratio of the stem's own share of toxic texts against that of all; most of many stems are rare by chance
+        ratio = 2 * (t * np.log(max(t, 1) / (both * share1)) + (c * np.log(c / (both * (1 - share1))) if c else 0.0)) if both else 0.0
+        if lift > 2.0 and ratio > LEAST_RATIO:
             ranked.append((-lift * np.sqrt(t), len(s), s, j))
     for _, _, s, j in sorted(ranked):
         bare = s.rstrip("$")
@@ -218,7 +226,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 16_000,
     if len(rows):
         q, voters = label_model(votes, share, start)
         x = np.concatenate([hits[:, use], stats, np.ones((len(rows), 1))], axis=1).astype(float)
-        w = logistic(x, q, 0.3)
+        w = logistic(x, q, 0.03)
     else:
         q, voters, w = np.zeros(0), [], np.concatenate([np.full(len(use), 5.0), np.zeros(STATISTICS), [-3.0]])
     if len(rows):  # words of the fixed lexicons that no labelled row shows keep a plain weight
