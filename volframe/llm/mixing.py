@@ -64,7 +64,7 @@ def draws(goals: DataFrame, block_words: int, shard_blocks: int, seed: int) -> D
     plan = plan.withColumn("slots", F.col("epochs") * F.col("blocks") + F.when(F.col("rest") > 0, F.least(F.col("blocks"), F.ceil(F.col("rest") / block_words).cast("long") + 1)).otherwise(0))
     plan = plan.withColumn("first", F.coalesce(F.sum("slots").over(Window.orderBy(F.col("source").isNull(), "source").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("all_slots", F.sum("slots").over(Window.partitionBy(F.lit(1))))
     run = 1024
-    slots = plan.withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(slots - 1) div {run}")))).repartition("source", "lot")
+    slots = plan.withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(slots - 1) div {run}")))).repartition(int(goals.sparkSession.conf.get("spark.sql.shuffle.partitions")), "source", "lot")  # a fixed number: AQE would put the few small rows, which explode below, into one task
     slots = slots.withColumn("slot", F.explode(F.sequence(F.col("lot") * run, F.least(F.col("lot") * run + run, F.col("slots")) - 1)))
     k = F.lit(seed)
     slots = slots.withColumn("epoch", F.expr("slot div blocks")).withColumn("place", F.col("slot") % F.col("blocks"))
@@ -104,10 +104,10 @@ def placed(docs: DataFrame, goals: DataFrame, buckets: int, seed: int) -> DataFr
     sums = docs.groupBy("src", "bucket").agg(F.sum("size").alias("words"))
     sums = sums.select("src", "bucket", F.coalesce(F.sum("words").over(Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
     inside = F.coalesce(F.sum("size").over(Window.partitionBy("src", "bucket").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return docs.withColumn("inside", inside).join(sums, ["src", "bucket"]).withColumn("start", F.col("base") + F.col("inside")).drop("bucket", "base", "inside")
+    return docs.withColumn("inside", inside).join(sums.hint("merge"), ["src", "bucket"]).withColumn("start", F.col("base") + F.col("inside")).drop("bucket", "base", "inside")
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.0, most: float = 3.0, block_words: int = 256, shard_blocks: int = 4096, rows_per_bucket: int = 2000, seed: int = 11, **cols) -> tuple[DataFrame, DataFrame]:
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.0, most: float = 3.0, block_words: int = 256, shard_blocks: int = 4096, rows_per_bucket: int = 500, seed: int = 11, **cols) -> tuple[DataFrame, DataFrame]:
     """(documents, slots). documents: doc_id, source, key, size, source_size, target, start, pieces, taken.
 
     pieces are the parts of the document that the mix takes, as (shard, epoch, from, to) in words, in no order; taken is
@@ -125,13 +125,13 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.
     slots = draws(goals, block_words, shard_blocks, seed).withColumn("src", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")))
     drawn = slots.groupBy("src", "block").agg(F.collect_list(F.struct("shard", "epoch", "take")).alias("draws"))  # at most `most` rounded up
     parts = located.withColumn("row", F.struct("key", "doc_id", "start")).withColumn("block", F.explode(F.sequence(F.expr(f"start div {block_words}"), F.expr(f"greatest(start, start + size - 1) div {block_words}"))))
-    parts = parts.where("size > 0").join(drawn, ["src", "block"])
+    parts = parts.where("size > 0").join(drawn.hint("merge"), ["src", "block"])
     left, right = F.greatest(F.col("start"), F.col("block") * block_words), F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words)
     one = lambda d: F.struct(d.shard.alias("shard"), d.epoch.alias("epoch"), (left - F.col("start")).alias("from"), (F.least(right, F.col("block") * block_words + d.take) - F.col("start")).alias("to"))
     got = F.filter(F.transform("draws", one), lambda x: x["to"] > x["from"])
     pieces = parts.select("src", "row", got.alias("got")).groupBy("src", "row").agg(F.flatten(F.collect_list("got")).alias("pieces"))
     located = located.withColumn("row", F.struct("key", "doc_id", "start"))
-    out = located.join(pieces, ["src", "row"], "left").join(goals.select("src", "source_size", "target"), "src")
+    out = located.join(pieces.hint("merge"), ["src", "row"], "left").join(goals.select("src", "source_size", "target"), "src")
     pieces = F.when(F.col("size") > 0, F.col("pieces"))
     taken = F.aggregate(F.coalesce(pieces, F.array().cast("array<struct<shard:bigint,epoch:bigint,from:bigint,to:bigint>>")), F.lit(0).cast("long"), lambda s, p: s + p["to"] - p["from"])
     return out.select("doc_id", "source", "key", "size", "source_size", "target", "start", pieces.alias("pieces"), taken.alias("taken")), slots.drop("src")
