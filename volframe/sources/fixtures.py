@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from volframe.functions.pricing import black76
+from volframe.operators.surface import black_price
 from volframe.operators.timeseries import calendar
 
 TENORS = (1 / 12, 0.25, 0.5, 1.0, 2.0)
@@ -112,5 +112,5 @@ def chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = q.withColumn("k", -0.35 + F.col("i") * 0.53 / (STRIKES - 1)).withColumn("forward", F.col("spot") * F.exp(0.02 * F.col("T"))).withColumn("discount", F.exp(-0.04 * F.col("T")))
     q = q.withColumn("strike", F.col("forward") * F.exp("k")).withColumn("expiration", F.expr("date_add(as_of, cast(round(T * 365) as int))"))
     iv = 0.20 + 0.01 * F.col("T") - 0.025 * F.col("k") / F.sqrt(F.greatest(F.col("T"), F.lit(1 / 52))) + 0.06 * F.col("k") * F.col("k")
-    q = q.withColumn("iv", iv).withColumn("mid", black76(F.col("forward"), F.col("strike"), F.col("T"), F.col("iv"), F.col("discount"), F.col("option_type") == "call"))
+    q = q.withColumn("iv", iv).withColumn("mid", black_price("forward", "strike", "T", "iv", "discount", F.col("option_type") == "call"))
     return q.withColumn("bid", F.col("mid") * 0.98).withColumn("ask", F.col("mid") * 1.02).withColumn("open_interest", F.pmod(F.col("i") * 37 + F.dayofyear("as_of"), F.lit(100))).drop("i")
