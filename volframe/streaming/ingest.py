@@ -8,27 +8,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from volframe.operators.timeseries import upsert
-
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, files_per_trigger: int = 64) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
 def upsert_stream(stream: DataFrame, target: str, keys: Sequence[str], version: str, checkpoint: str):
-    """Each batch is reduced to the newest non-null value per key and column, then merged into the table at target.
+    """The newest non-null value per key and column, whatever the order in which batches bring them, as a table at target.
 
-    The table is kept as numbered versions below target with a pointer to the last whole one, so a batch that runs twice
-    after a failure gives the same version again. Returns the query; it ends when all files present are read.
+    Column c has its version beside it as _version_c, so that a late row with an older version never replaces a newer
+    value; at equal versions the later batch wins, and a null version is the oldest. The table of batch n is target/v<n>,
+    made from v<n - 1>, so a batch that runs twice after a failure gives the same table again. Returns the query; it ends
+    when all files present are read.
     """
     values = [c for c in stream.columns if c not in (*keys, version)]
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        new = batch.groupBy(*keys).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(version))).alias(c) for c in values])
-        out = new
+        rows = batch.select(*keys, *values, *[F.col(version).alias(f"_version_{c}") for c in values], F.lit(True).alias("_new"))
         if number:
-            out = upsert(spark.read.parquet(f"{target}/v{number - 1}"), new, keys)
+            rows = rows.unionByName(spark.read.parquet(f"{target}/v{number - 1}").withColumn("_new", F.lit(False)))
+        # a struct is never null itself: only nulls of the value are left out
+        age = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(f"_version_{c}"), F.col("_new"))) for c in values}
+        out = rows.groupBy(*keys).agg(*[F.max_by(x, age[c]).alias(x) for c in values for x in (c, f"_version_{c}")])
         out.write.mode("overwrite").parquet(f"{target}/v{number}")
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
