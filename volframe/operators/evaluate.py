@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,46 +56,48 @@ def regime_bin(vix: Column) -> Column:
     return F.when(vix <= 15, "low").when(vix <= 25, "normal").when(vix <= 35, "high").when(vix.isNotNull(), "crisis")
 
 
-def _ridge(terms: list[str], alpha: float, least: int, target: str):
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        cols = ["ticker", "date", "month", "forecast", "lo", "hi", "n_train"]
-        new = pdf[pdf["role"] == "predict"]
-        old = pdf[(pdf["role"] == "train")]
-        with np.errstate(all="ignore"):
-            x, y, z = np.log(old[terms].to_numpy(float)), np.log(old[target].to_numpy(float)), np.log(new[terms].to_numpy(float))
-        ok = np.isfinite(x).all(axis=1) & np.isfinite(y)
-        good = np.isfinite(z).all(axis=1)
-        if ok.sum() < least or not good.any():
-            return pd.DataFrame(columns=cols)
-        x, y = x[ok], y[ok]
-        mu, sd = x.mean(axis=0), x.std(axis=0) + 1e-12
-        a = np.concatenate([np.ones((len(x), 1)), (x - mu) / sd], axis=1)
-        pen = np.diag([0.0, *[alpha] * len(terms)])
-        c = np.linalg.solve(a.T @ a + pen, a.T @ y)
-        left = y - a @ c
-        out = new[["ticker", "date", "month"]].copy()
-        mid = np.full(len(new), np.nan)
-        mid[good] = np.concatenate([np.ones((good.sum(), 1)), (z[good] - mu) / sd], axis=1) @ c
-        out["forecast"] = np.exp(mid) * np.exp(left).mean()
-        lo, hi = np.quantile(left, [0.1, 0.9])
-        out["lo"], out["hi"], out["n_train"] = np.exp(mid + lo), np.exp(mid + hi), int(ok.sum())
-        return out[good]
-
-    return run
-
-
-def walk_forward(rows: DataFrame, target: str, h: int, terms: list[str], alpha: float = 1.0, least: int = 250, window_months: int | None = None) -> DataFrame:
-    """Monthly refits per ticker on rows whose target closed before the month began; forecasts of the month's rows.
-
-    Training rows are sent to each later month (within window_months, if given), so that refits run in parallel. A month
-    with fewer than `least` usable rows has no forecast.
+def _ridge(sums: dict[str, float], k: int, alpha: float) -> list[float]:
+    """Intercept and slopes of the ridge on standardised terms, for terms as they are, from n, sums and cross products."""
+    n, y = sums["n"], sums["y"]
+    mu = np.array([sums[f"x{i}"] for i in range(k)]) / n
+    cov = np.array([[sums[f"x{min(i, j)}x{max(i, j)}"] for j in range(k)] for i in range(k)]) / n - np.outer(mu, mu)
+    sd = np.sqrt(np.maximum(np.diag(cov), 0.0)) + 1e-12
+    xy = np.array([sums[f"x{i}y"] for i in range(k)]) - mu * y
+    slopes = np.linalg.solve(n * cov / np.outer(sd, sd) + alpha * np.eye(k), xy / sd) / sd
+    return [float(y / n - slopes @ mu), *map(float, slopes)]
+
+
+def walk_forward(rows: DataFrame, target: str, h: int, terms: list[str], alpha: float = 1.0, least: int = 250) -> DataFrame:
+    """Monthly refits, pooled over tickers, on all rows whose target closed before the month began; forecasts of its rows.
+
+    The target of a row closes with the ticker's h-th next row. Coefficients come from sums by the month from which on a
+    row is known, added up over the months, of which there are few; residuals then meet each later month's coefficients
+    for the smearing factor and the exact 10 and 90 % quantiles. A month with fewer than `least` usable rows in the pool
+    has no forecast. Columns: ticker, date, month, horizon, forecast, lo, hi, n_train.
     """
-    w = Window.partitionBy("ticker").orderBy("date")
-    f = rows.withColumn("pos", F.row_number().over(w)).withColumn("month", F.trunc("date", "month"))
-    months = f.groupBy("ticker", F.col("month").alias("m")).agg(F.min("pos").alias("first"))
-    known = f.drop("month").alias("f").join(months.alias("g"), (F.col("f.ticker") == F.col("g.ticker")) & (F.col("f.pos") + h <= F.col("g.first") - 1) & (F.col("g.m") <= F.add_months(F.col("f.date"), window_months or 1200)))
-    known = known.select("f.ticker", "f.date", F.col("g.m").alias("month"), *terms, target, F.lit("train").alias("role"))
-    now = f.select("ticker", "date", "month", *terms, target, F.lit("predict").alias("role"))
-    spark = rows.sparkSession
-    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return known.unionByName(now).repartition(parts, "ticker", "month").groupBy("ticker", "month").applyInPandas(_ridge(terms, alpha, least, target), "ticker string, date date, month date, forecast double, lo double, hi double, n_train int")
+    spark, k = rows.sparkSession, len(terms)
+    log = lambda c: F.when((F.col(c) > 0) & (F.col(c) < float("inf")), F.log(c))
+    closed = F.lead("date", h).over(Window.partitionBy("ticker").orderBy("date"))
+    f = rows.withColumn("_closed", closed).select("ticker", "date", F.trunc("date", "month").alias("month"), F.add_months(F.trunc("_closed", "month"), 1).alias("since"), *[log(c).alias(f"x{i}") for i, c in enumerate(terms)], log(target).alias("y"))
+    xs = [f"x{i}" for i in range(k)]
+    f = f.where(" and ".join(f"{x} is not null" for x in xs))
+    known = f.where("y is not null and since is not null")
+    cross = [F.sum(F.col(a) * F.col(b)).alias(a + b) for i, a in enumerate(xs) for b in (*xs[i:], "y")]
+    parts = known.groupBy("since").agg(F.count("*").alias("n"), F.sum("y").alias("y"), *[F.sum(x).alias(x) for x in xs], *cross).orderBy("since").collect()
+    months = [r.month for r in f.select("month").distinct().orderBy("month").collect()]
+    models, total, i = [], {}, 0
+    for m in months:
+        while i < len(parts) and parts[i].since <= m:
+            for c, v in parts[i].asDict().items():
+                if c != "since":
+                    total[c] = total.get(c, 0) + v
+            i += 1
+        if total and total["n"] >= least:
+            models.append((m, total["n"], _ridge(total, k, alpha)))
+    models = spark.createDataFrame(models, "month date, n_train int, c array<double>")
+    fitted = sum((F.col("c")[i + 1] * F.col(x) for i, x in enumerate(xs)), F.col("c")[0])
+    left = F.col("y") - fitted
+    spread = known.drop("month").join(F.broadcast(models), F.col("since") <= F.col("month"))
+    spread = spread.groupBy("month").agg(F.avg(F.exp(left)).alias("smear"), F.percentile(left, F.array(F.lit(0.1), F.lit(0.9))).alias("q"))
+    out = f.join(F.broadcast(models), "month").join(spread, "month")
+    return out.select("ticker", "date", "month", F.lit(h).alias("horizon"), (F.exp(fitted) * F.col("smear")).alias("forecast"), F.exp(fitted + F.col("q")[0]).alias("lo"), F.exp(fitted + F.col("q")[1]).alias("hi"), "n_train")

@@ -391,14 +391,16 @@ def grid_qc(spark, d):
 @query()
 def har_forecast(spark, d):
     h = R.har_dataset(X.bars(spark, d))
-    return rounded(E.walk_forward(h, "y_5", 5, ["rv_d", "rv_w", "rv_m"], window_months=36), "forecast", "lo", "hi")
+    both = [E.walk_forward(h, f"y_{n}", n, ["rv_d", "rv_w", "rv_m"]) for n in (5, 21)]
+    return rounded(both[0].unionByName(both[1]), "forecast", "lo", "hi")
 
 
 @query()
 def track_record(spark, d):
     h = R.har_dataset(X.bars(spark, d))
-    f = E.walk_forward(h, "y_5", 5, ["rv_d", "rv_w", "rv_m"], window_months=36).join(h.select("ticker", "date", "y_5"), ["ticker", "date"]).where("y_5 > 0")
-    out = f.groupBy("ticker").agg(F.count("*").alias("n"), F.avg(P.qlike(F.col("y_5"), F.col("forecast"))).alias("qlike"), F.avg(F.col("y_5").between(F.col("lo"), F.col("hi")).cast("double")).alias("covered"))
+    both = [E.walk_forward(h, f"y_{n}", n, ["rv_d", "rv_w", "rv_m"]).join(h.select("ticker", "date", F.col(f"y_{n}").alias("y")), ["ticker", "date"]).where("y > 0") for n in (5, 21)]
+    f = both[0].unionByName(both[1])
+    out = f.groupBy("ticker", "horizon").agg(F.count("*").alias("n"), F.avg(P.qlike(F.col("y"), F.col("forecast"))).alias("qlike"), F.avg(F.col("y").between(F.col("lo"), F.col("hi")).cast("double")).alias("covered"))
     return rounded(out, "qlike", "covered")
 
 
