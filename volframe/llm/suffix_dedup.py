@@ -7,13 +7,13 @@ at equal places. A run is the windows of a text with the same anchor.
 1. A run whose anchor is found nowhere else has no copies. This drops nearly all of a corpus.
 2. Runs that are equal as a whole are copies window by window.
 3. What is left, runs that share an anchor yet differ, is compared window by window: one run of each kind is sent, with
-   its bytes, to the others of its anchor. There the window starts are put into suffix order as far as `length` bytes
-   (by a 128-bit hash of these bytes: below that depth order has no effect on the decision), and previous and next smaller
-   positions in that order tell which start has an earlier match of the full length, its longest previous factor being
-   `length` or more. An anchor with more than CLASS_RUNS different runs is handled as rows of (window hash, run) instead,
+   its bytes, to the others of its anchor. There the window starts are sorted by a 128-bit hash of their `length` bytes,
+   and equal neighbours are the copies: a start has an earlier match of the full length exactly if an equal window comes
+   before it, so neither suffix order nor previous and next smaller positions are needed. An anchor with more than CLASS_RUNS different runs is handled as rows of (window hash, run) instead,
    counted by groupBy, so no group is ever gathered beyond that size.
 
-The matches of step 1 and 2 rest on 128 bits of hashes. lpf() below is the plain lexicographic array for one text.
+The matches of step 1 and 2 rest on 128 bits of hashes. lpf() below, the longest previous factors of one
+text in lexicographic order, takes no part in them; the tests alone call it.
 """
 
 from __future__ import annotations
