@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import re
 import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +22,15 @@ _own_dir: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests).
+
+    A temporary folder is one machine's own, so it is only for a local master; elsewhere the setting must be there.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     app = spark.sparkContext.applicationId
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         if app not in _own_dir:
             _own_dir[app] = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         base = _own_dir[app]
@@ -51,6 +60,13 @@ def held_out(name: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(name).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
+def release_memory() -> None:
+    """Give what Arrow and the C library hold unused back to the system: Python workers live on and serve later stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # there is no malloc_trim outside glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class WordHashes(dict):
     """64-bit hash of a word (bytes), remembered; forgets all at a fixed size so that memory stays bounded."""
 

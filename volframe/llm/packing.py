@@ -13,25 +13,24 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from volframe.llm.common import stage, text_of
+from volframe.llm.common import release_memory, stage, text_of
 
-SPECIAL = "<|endoftext|>"
+#: Tasks hand on their rows whenever they hold so many ids, so that long documents need no more memory than short ones.
+SLICE_IDS = 1 << 20
 
 
 def encoder(json_path: str):
-    """text -> ids, as Tokenizer.from_file(json_path).encode(text, add_special_tokens=False).ids gives them.
+    """text -> ids (array of uint32), as Tokenizer.from_file(json_path).encode(text, add_special_tokens=False).ids gives them.
 
-    The merges of the file are also run by tiktoken, which yields the same ids about five times faster; texts that hold
-    the string of a special token go to the tokenizers library itself.
+    The merges of the file are run by tiktoken, which yields the same ids about five times faster; texts that hold the
+    string of a special token go to the tokenizers library itself, which is loaded when the first such text comes.
     """
     import tiktoken
-    from tokenizers import Tokenizer
 
-    slow = Tokenizer.from_file(json_path)
     with open(json_path, encoding="utf-8") as f:
         spec = json.load(f)
     special = [t["content"] for t in spec.get("added_tokens", [])]
@@ -39,49 +38,77 @@ def encoder(json_path: str):
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     shown = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
     ranks = {bytes(shown[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
+    short = max(spec["model"]["vocab"].values()) < 65536
     pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-    fast = tiktoken.Encoding("bytes", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    fast, slow = tiktoken.Encoding("bytes", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), []
+    del spec
 
-    def encode(text: str) -> list[int]:
+    def encode(text: str) -> np.ndarray:
         if any(s in text for s in special):
-            return slow.encode(text, add_special_tokens=False).ids
-        return fast.encode_ordinary(text)
+            from tokenizers import Tokenizer
 
-    return encode, max(spec["model"]["vocab"].values()) < 65536
+            if not slow:
+                slow.append(Tokenizer.from_file(json_path))
+            return np.array(slow[0].encode(text, add_special_tokens=False).ids, np.uint32)
+        return fast.encode_to_numpy(text)
+
+    return encode, short
 
 
 def _tokenize(json_path: str, end_id: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = pa.schema([("doc_id", pa.int64()), ("before", pa.int64()), ("doc_tokens", pa.int64()), ("ids", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, short = encoder(json_path)
         at = 0
-        for pdf in batches:
-            out = []
-            for text in pdf.text:
-                ids = np.array([*encode(text.encode("utf-8", "replace").decode()), end_id], "<u2" if short else "<u4")
-                out.append((at, len(ids), ids.tobytes()))
+        for batch in batches:
+            out, held = [], 0
+            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
+                ids = np.append(encode(text.as_buffer().to_pybytes().decode("utf-8", "replace")), np.uint32(end_id))
+                out.append((doc_id.as_py(), at, len(ids), ids.astype("<u2" if short else "<u4").tobytes()))
                 at += len(ids)
-            out = pd.DataFrame(out, columns=["before", "doc_tokens", "ids"])
-            out.insert(0, "doc_id", pdf.doc_id.to_numpy())
-            yield out
+                held += len(ids)
+                if held >= SLICE_IDS:
+                    yield pa.record_batch(list(zip(*out, strict=True)), schema=schema)
+                    out, held = [], 0
+            if out:
+                yield pa.record_batch(list(zip(*out, strict=True)), schema=schema)
+        release_memory()
 
     return run
 
 
 def _cut(length: int, with_ids: bool):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for doc_id, at, n, raw in zip(pdf["doc_id"], pdf["at"], pdf["doc_tokens"], pdf["ids"], strict=True):
-                ids = np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4").astype("<u4")
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+
+    def rows(out: list[tuple], own: list[np.ndarray]) -> pa.RecordBatch:
+        columns = [pa.array(c, pa.int64()) for c in zip(*out, strict=True)]
+        if not with_ids:
+            return pa.record_batch(columns, names)
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in own])]).astype(np.int32)
+        return pa.record_batch([*columns, pa.ListArray.from_arrays(ends, np.concatenate(own).astype(np.int32))], [*names, "ids"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out, own, held = [], [], 0
+            for doc_id, at, n, raw in zip(*(batch.column(i) for i in range(4)), strict=True):
+                doc_id, at, n, raw = doc_id.as_py(), at.as_py(), n.as_py(), raw.as_buffer()
+                ids = np.frombuffer(raw, "<u2" if raw.size == 2 * n else "<u4")
                 start = 0
                 while start < n:
                     offset = (at + start) % length
                     take = min(n - start, length - offset)
-                    own = ids[start : start + take]
-                    out.append((doc_id, start, take, zlib.crc32(own.tobytes()), n, (at + start) // length, offset, own.astype(np.int32) if with_ids else None))
+                    piece = ids[start : start + take]
+                    out.append((doc_id, start, take, zlib.crc32(piece.astype("<u4").tobytes()), n, (at + start) // length, offset))
+                    own.append(piece)
                     start += take
-            cols = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
-            yield pd.DataFrame(out, columns=cols).drop(columns=[] if with_ids else ["ids"])
+                    held += take
+                    if held >= SLICE_IDS:
+                        yield rows(out, own)
+                        out, own, held = [], [], 0
+            if out:
+                yield rows(out, own)
+        release_memory()
 
     return run
 
@@ -93,8 +120,8 @@ def pack(docs: DataFrame, json_path: str, id_col: str = "doc_id", text_col: str
     order is that of the input's partitions. A long text spans as many sequences as it fills. An empty table gives no
     pieces; other columns are not read. json_path must be readable on the executors.
     """
-    base = docs.select(F.col(id_col).cast("string").alias("doc_id"), text_of(text_col).alias("text"))
-    ids = base.mapInPandas(_tokenize(json_path, end_id), "doc_id string, before long, doc_tokens long, ids binary")
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
+    ids = base.mapInArrow(_tokenize(json_path, end_id), "doc_id long, before long, doc_tokens long, ids binary")
     ids = stage(ids.withColumn("part", F.spark_partition_id()), "op4-ids")
     totals = ids.groupBy("part").agg(F.sum("doc_tokens").alias("n")).orderBy("part").collect()  # one row per partition
     base_of, at = [], 0
@@ -103,5 +130,5 @@ def pack(docs: DataFrame, json_path: str, id_col: str = "doc_id", text_col: str
         at += t.n
     offsets = docs.sparkSession.createDataFrame(base_of, "part int, base long")
     placed = ids.join(F.broadcast(offsets) if len(base_of) <= 100_000 else offsets, "part").withColumn("at", F.col("base") + F.col("before"))
-    schema = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids
-    return placed.select("doc_id", "at", "doc_tokens", "ids").mapInPandas(_cut(length, with_ids), schema).withColumn("doc_id", F.col("doc_id").cast("long"))
+    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids
+    return placed.select("doc_id", "at", "doc_tokens", "ids").mapInArrow(_cut(length, with_ids), schema)

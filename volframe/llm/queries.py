@@ -77,8 +77,9 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_warc(table(spark, sf_dir, "pages"), path)
-    records = read_warc(spark, path).where(~F.col("quarantined"))
-    return records.select(page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type", page_of(F.col("refers_to_id")).alias("refers_to"))
+    records = read_warc(spark, path)  # archives just written have no gap
+    page_id = F.when(F.col("quarantined"), F.raise_error(F.concat(F.lit("damaged bytes in "), "archive")).cast("long")).otherwise(page_of(F.col("record_id")))
+    return records.select(page_id.alias("page_id"), "payload_bytes", "payload_digest", "record_type", page_of(F.col("refers_to_id")).alias("refers_to"))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

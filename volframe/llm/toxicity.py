@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from volframe.llm.common import held_out, stage, text_of
+from volframe.llm.common import held_out, release_memory, stage, text_of
 
 # fixed values: general lexicons of insults, by language
 LEXICONS = {
@@ -246,6 +246,7 @@ def _score(model: ToxicityModel):
         score = model.scorer()
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf.doc_id, "text_key": pdf.text_key, "score": [score(t) for t in pdf.text]})
+        release_memory()
 
     return run
 
