@@ -250,6 +250,28 @@ def test_mixing(spark, docs, empty):
     assert mix(docs)[0].count() == len(ROWS) and mix(empty)[0].count() == 0
 
 
+def test_shards_are_multinomial_draws(spark):
+    """Counts of a source vary between shards as independent draws do, and all slots are dealt once."""
+    from volframe.llm.mixing import draws, shard_counts
+
+    plan = spark.createDataFrame([("a", 0, 60_000), ("b", 60_000, 3), ("c", 60_003, 39_997)], "src string, first long, slots long")
+    counts = {(r.src, r.shard): r.n for r in shard_counts(plan, 100_000, 100, 5).collect()}
+    a = np.array([counts.get(("a", s), 0) for s in range(1000)])
+    assert sum(counts.values()) == 100_000 and abs(a.mean() - 60) < 1 and 18 < a.var() < 31  # 100 * 0.6 * 0.4 = 24
+    goals = spark.createDataFrame([("x", 1000, 2500.0), ("y", 50, 150.0), (None, 400, 399.0), ("z", 0, 0.0)], "source string, source_size long, target double")
+    rows = draws(goals, 16, 8, 3).collect()
+    per, seen = {}, {}
+    for r in rows:
+        per[r.source] = per.get(r.source, 0) + r.take
+        seen.setdefault((r.source, r.epoch), []).append(r.block)
+    assert per == {"x": 2500, "y": 150, None: 399} and all(len(set(b)) == len(b) for b in seen.values())
+    shards = {}
+    for r in rows:
+        shards[r.shard] = shards.get(r.shard, 0) + 1
+    assert max(shards.values()) <= 8
+    assert draws(goals.where("false"), 16, 8, 3).count() == 0
+
+
 def test_models(spark, sf_dir, docs, empty):
     from volframe.llm.queries import table
     from volframe.llm.quality import fit_quality, quality

@@ -1,10 +1,10 @@
 """Mixing sources to target weights, from DataFrame functions alone.
 
 The words of a source, its documents one after another in a pseudorandom order, are cut into blocks of fixed length. A mix
-is a row of slots, each filled by a block. Each source has as many slots as its target asks for; a pseudorandom
-permutation of all slots deals them out to output shards, which draws the source counts of a shard as a multinomial draw
-does, given the totals. Within a source, slot k of epoch e takes the block at place k of a permutation keyed by (source,
-e), so no block comes twice before all came once. Slots and documents meet on (source, block).
+is a row of slots, each filled by a block. Each source has as many slots as its target asks for. The source counts of each
+output shard are a multinomial draw, keyed by the shard, in proportion to the slots of the sources; a last step settles
+what draws and targets differ by. Within a source, slot k of epoch e takes the block at place k of a permutation keyed by
+(source, e), so no block comes twice before all came once. Slots and documents meet on (source, block).
 
 The position of a document in its source is a sum over buckets plus a sum within its bucket, so a source with a third of
 all rows is no group in one task.
@@ -37,7 +37,7 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     Sources in code point order, null last, weigh as `weights` repeats. They share `share` of all words by weight; a
     target stops at `most` times the source's size, and the excess goes to the others by weight until none is above. With
     sources ordered by cap / weight, those that stop are a first part of the order, so one pass of running sums finds it.
-    One row per source is handled in one task here.
+    One row per source is handled in one task here: sources name corpora, of which a million would still fit.
     """
     ranked = sizes.withColumn("rank", F.row_number().over(Window.orderBy(F.col("source").isNull(), "source")) - 1)
     w = F.element_at(F.array(*map(F.lit, weights)), (F.pmod("rank", F.lit(len(weights))) + 1).cast("int"))
@@ -55,27 +55,64 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     return ranked.select("source", "source_size", "weight", target.alias("target"))
 
 
+def _so_far(rows: DataFrame, key: str, at: str, n: str, run: int = 1024) -> DataFrame:
+    """rows(key, at, n) with `base`, the sum of n over smaller `at` of the key: sums of runs first, then within each run."""
+    rows = rows.withColumn("run", F.expr(f"{at} div {run}"))
+    before = lambda *by: Window.partitionBy(*by[:-1]).orderBy(by[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    runs = rows.groupBy(key, "run").agg(F.sum(n).alias("_n"))
+    runs = runs.select(key, "run", F.coalesce(F.sum("_n").over(before(key, "run")), F.lit(0)).alias("_above"))
+    inside = F.coalesce(F.sum(n).over(before(key, "run", at)), F.lit(0))
+    return rows.withColumn("_inside", inside).join(runs.hint("merge"), [key, "run"]).withColumn("base", F.col("_above") + F.col("_inside")).drop("run", "_above", "_inside")
+
+
+def shard_counts(plan: DataFrame, total: int, shard_blocks: int, seed: int) -> DataFrame:
+    """src, shard, n: multinomial draws of shard_blocks sources for each shard (the last shard has what is left of total).
+
+    plan(src, first, slots): the places first..first + slots - 1 of 0..total - 1 are the source's. Each draw is a hash of
+    its number modulo total, so a source is drawn in proportion to its slots. A draw finds its source within one of some
+    ten thousand ranges of places, which sources are cut into.
+    """
+    width = max(1024, -(-total // 65_536))
+    ranges = plan.select("src", "first", "slots", F.explode(F.sequence(F.expr(f"first div {width}"), F.expr(f"(first + slots - 1) div {width}"))).alias("range"))
+    drawn = plan.sparkSession.range(total).select(F.expr(f"id div {shard_blocks}").alias("shard"), F.pmod(F.xxhash64(F.lit(seed), F.lit("draw"), "id"), F.lit(total)).alias("place"))
+    drawn = drawn.withColumn("range", F.expr(f"place div {width}")).join(ranges, "range").where("place >= first and place < first + slots")
+    return drawn.groupBy("src", "shard").agg(F.count("*").alias("n"))
+
+
 def draws(goals: DataFrame, block_words: int, shard_blocks: int, seed: int) -> DataFrame:
-    """goals(source, source_size, target): one row per slot with source, epoch, block, words taken from its start, shard."""
+    """goals(source, source_size, target): one row per slot with source, epoch, block, words taken from its start, shard.
+
+    The slots of a source go to the shards in the order of its draws. What a source was drawn too often is left out, and
+    what it was drawn too seldom (both about the root of its slots) fills shards of its own after the others, so that each
+    source takes its target.
+    """
     plan = goals.where("source_size > 0 and target > 0").select("source", "source_size", F.round("target").cast("long").alias("want"))
+    plan = plan.withColumn("src", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")))
     plan = plan.withColumn("blocks", F.ceil(F.col("source_size") / block_words).cast("long")).withColumn("epochs", F.expr("want div source_size"))
     plan = plan.withColumn("rest", F.col("want") - F.col("epochs") * F.col("source_size"))
     # the last, partial epoch: so many blocks that their words reach the rest; the last of them gives what is missing
-    plan = plan.withColumn("slots", F.col("epochs") * F.col("blocks") + F.when(F.col("rest") > 0, F.least(F.col("blocks"), F.ceil(F.col("rest") / block_words).cast("long") + 1)).otherwise(0))
-    plan = plan.withColumn("first", F.coalesce(F.sum("slots").over(Window.orderBy(F.col("source").isNull(), "source").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("all_slots", F.sum("slots").over(Window.partitionBy(F.lit(1))))
-    run = 1024
-    slots = plan.withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(slots - 1) div {run}")))).repartition(int(goals.sparkSession.conf.get("spark.sql.shuffle.partitions")), "source", "lot")  # a fixed number: AQE would put the few small rows, which explode below, into one task
-    slots = slots.withColumn("slot", F.explode(F.sequence(F.col("lot") * run, F.least(F.col("lot") * run + run, F.col("slots")) - 1)))
+    plan = plan.withColumn("slots", F.col("epochs") * F.col("blocks") + F.when(F.col("rest") > 0, F.least(F.col("blocks"), F.ceil(F.col("rest") / block_words).cast("long") + 1)).otherwise(0)).where("slots > 0")
+    before = Window.orderBy("src").rowsBetween(Window.unboundedPreceding, -1)  # a row for each source
+    plan = stage(plan.withColumn("first", F.coalesce(F.sum("slots").over(before), F.lit(0))), "op10-plan")
+    total = plan.agg(F.sum("slots")).first()[0] or 0
+    counts = stage(shard_counts(plan, total, shard_blocks, seed), "op10-counts")
+    dealt = _so_far(counts, "src", "shard", "n").join(plan.select("src", "slots"), "src")
+    dealt = dealt.select("src", "shard", F.col("base").alias("lo"), F.least(F.col("base") + F.col("n"), "slots").alias("hi"))
+    short = plan.join(counts.groupBy("src").agg(F.sum("n").alias("got")), "src", "left").select("src", F.coalesce("got", F.lit(0)).alias("lo"), F.col("slots").alias("hi")).where("lo < hi")
+    short = short.withColumn("at", F.coalesce(F.sum(F.col("hi") - F.col("lo")).over(before), F.lit(0)))
+    short = short.withColumn("slot", F.explode(F.sequence("lo", F.col("hi") - 1)))
+    short = short.select("src", (F.expr(f"(at + slot - lo) div {shard_blocks}") + -(-total // shard_blocks)).alias("shard"), "slot")
+    parts = int(goals.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a fixed number: AQE would put the few small rows, which explode here, into one task
+    slots = dealt.where("lo < hi").repartition(parts, "src", "shard").select("src", "shard", F.explode(F.sequence("lo", F.col("hi") - 1)).alias("slot")).unionByName(short).join(plan, "src")
     k = F.lit(seed)
     slots = slots.withColumn("epoch", F.expr("slot div blocks")).withColumn("place", F.col("slot") % F.col("blocks"))
     slots = slots.withColumn("block", permuted(F.col("place"), F.col("blocks"), k, F.col("source"), F.col("epoch")))
-    slots = slots.withColumn("shard", F.floor(permuted(F.col("first") + F.col("slot"), F.col("all_slots"), k) / shard_blocks).cast("long"))
     size = F.least(F.lit(block_words), F.col("source_size") - F.col("block") * block_words)
     # only one block of a source is short; before the slot, the partial epoch took place * block_words or that much less
-    short = F.col("blocks") * block_words - F.col("source_size")
+    lack = F.col("blocks") * block_words - F.col("source_size")
     last = permuted_place_of_last(k)
-    before = F.col("place") * block_words - F.when(last < F.col("place"), short).otherwise(0)
-    take = F.when(F.col("epoch") < F.col("epochs"), size).otherwise(F.greatest(F.lit(0), F.least(size, F.col("rest") - before)))
+    taken = F.col("place") * block_words - F.when(last < F.col("place"), lack).otherwise(0)
+    take = F.when(F.col("epoch") < F.col("epochs"), size).otherwise(F.greatest(F.lit(0), F.least(size, F.col("rest") - taken)))
     return slots.withColumn("take", take.cast("long")).where("take > 0").select("source", "epoch", "block", "take", "shard")
 
 
@@ -101,8 +138,7 @@ def placed(docs: DataFrame, goals: DataFrame, buckets: int, seed: int) -> DataFr
     """docs(doc_id, source, key, size) with `start`, the number of the source's words before the document."""
     bucket = F.pmod(F.xxhash64(F.lit(seed), "key"), F.lit(buckets)).cast("int")
     docs = docs.withColumn("bucket", bucket).withColumn("src", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")))
-    sums = docs.groupBy("src", "bucket").agg(F.sum("size").alias("words"))
-    sums = sums.select("src", "bucket", F.coalesce(F.sum("words").over(Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    sums = _so_far(docs.groupBy("src", "bucket").agg(F.sum("size").alias("words")), "src", "bucket", "words").select("src", "bucket", "base")
     inside = F.coalesce(F.sum("size").over(Window.partitionBy("src", "bucket").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return docs.withColumn("inside", inside).join(sums.hint("merge"), ["src", "bucket"]).withColumn("start", F.col("base") + F.col("inside")).drop("bucket", "base", "inside")
 
