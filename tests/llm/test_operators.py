@@ -138,20 +138,68 @@ def test_fast_encoder_gives_the_same_ids():
         assert encode(t).tolist() == tok.encode(t, add_special_tokens=False).ids
 
 
-def test_fingerprints(docs, empty):
-    from volframe.llm.fingerprint import edits, fingerprints, likeness
-
-    rows = fingerprints(docs, rows_per_bucket=2).collect()
-    order = sorted(ROWS, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
-    want = {}
-    for i, r in enumerate(order):
-        t, nxt = r[1] or "", order[(i + 1) % len(order)][1] or ""
-        want.setdefault(r[0], set()).add(hashlib.sha256((t[: len(t) - len(t) // 2] + nxt[: len(t) // 2]).encode()).hexdigest())
-    assert len(rows) == len(ROWS) and all(r.edited_sha256 in want[r.doc_id] for r in rows)
-    assert all(abs(r.near_edited - likeness(r.fingerprint, r.edited_fingerprint)) < 1e-12 for r in rows)
+def test_fingerprints(spark, docs, empty):
+    import xxhash
+
+    from volframe.llm.fingerprint import fingerprint, fingerprints, likeness
+
+    def check(rows, got):
+        order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), np.int64(np.uint64(xxhash.xxh64_intdigest((r[1] or "").encode(), 42))), r[1] or ""))
+        want = {}
+        for i, r in enumerate(order):
+            t, nxt = r[1] or "", order[(i + 1) % len(order)][1] or ""
+            edited = t[: len(t) - len(t) // 2] + nxt[: len(t) // 2]
+            own, new = fingerprint(t), fingerprint(edited)
+            one = (r[0], len(t), hashlib.sha256(edited.encode()).hexdigest(), own, new, likeness(own, new), likeness(own, fingerprint(nxt)))
+            want[one] = want.get(one, 0) + 1
+        have = {}
+        for r in got:
+            have[tuple(r)] = have.get(tuple(r), 0) + 1
+        assert have == want
+
+    check(ROWS, fingerprints(docs, rows_per_range=2).collect())
+    rng = random.Random(8)
+    many = [(rng.choice([None, 5, i]), "\n".join(" ".join(rng.choice(["ab", "cde", "f"]) for _ in range(rng.randint(0, 9))) for _ in range(rng.randint(0, 6)))) for i in range(300)]
+    check(many, fingerprints(spark.createDataFrame(many, "doc_id long, text string").repartition(7), rows_per_range=11).collect())
+    check(many[:1], fingerprints(spark.createDataFrame(many[:1], "doc_id long, text string")).collect())
     assert fingerprints(empty).count() == 0
-    a = "first line here\n" * 3 + "tail " * 40
-    assert edits(a, a) == [] and edits(a, a[:100] + "XYZ " + a[100:])
+
+
+def test_trees_locate_edits():
+    from volframe.llm.fingerprint import Tree, edits, fingerprint, likeness, tree
+    from volframe.llm.common import Rolling
+
+    rng = random.Random(4)
+    lines = [" ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(rng.randint(1, 30))) + "\n" for _ in range(60)]
+    text = "".join(lines)
+    own = fingerprint(text)
+    whole = tree(text.encode(), Rolling(7))
+    assert Tree.of_text(own) == whole and whole.text() == own and len(whole.sections) > 5
+    assert edits(own, own) == [] and likeness(own, own) == 1.0 and likeness(own, fingerprint("")) == 0.0 and likeness(fingerprint(""), fingerprint("")) == 1.0
+    for t in ("x", "\n", "\n\n", "a\r\nb", "é" * 700, "a b " * 500):
+        assert Tree.of_text(fingerprint(t)) == tree(t.encode(), Rolling(7)) and likeness(fingerprint(t), fingerprint(t)) == 1.0
+    # one word changed, one line inserted, deleted, moved: one edit each, at its place
+    at = text.index(lines[30])
+    changed = text[: at + 1] + "ZZZ" + text[at + 4 :]
+    (kind, a, b, c, d), = edits(own, fingerprint(changed))
+    assert kind == "replace" and a <= at + 1 and b >= at + 4 and b - a < 400 and (a, b) == (c, d) and 0.9 < likeness(own, fingerprint(changed)) < 1
+    more = text[:at] + "a whole new line\n" + text[at:]
+    assert edits(own, fingerprint(more)) == [("insert", at, at, at, at + 17)]
+    assert edits(fingerprint(more), own) == [("delete", at, at + 17, at, at)]
+    n = len(lines[30])
+    swapped = text[:at] + text[at + n :] + lines[30]
+    assert edits(own, fingerprint(swapped)) == [("move", at, at + n, len(text) - n, len(text))]
+    assert likeness(fingerprint("a\nb\n"), fingerprint("b\na\n")) == 0.5 and edits(fingerprint("a\nb\n"), fingerprint("b\na\n"))
+    assert edits(fingerprint("a\na\n"), fingerprint("a\n")) and likeness(fingerprint("a\na\n"), fingerprint("a\n")) < 1
+    for _ in range(60):  # bytes outside of the edits are equal, in order
+        x = [rng.choice(lines[:12]) for _ in range(rng.randint(0, 15))]
+        y = [rng.choice(lines[:12]) if rng.random() < 0.3 else z for z in x if rng.random() < 0.8]
+        a, b = "".join(x), "".join(y)
+        ops = edits(fingerprint(a), fingerprint(b))
+        left, right = list(a), list(b)
+        for _, s, e, u, v in ops:
+            left[s:e], right[u:v] = [""] * (e - s), [""] * (v - u)
+        assert "".join(left) == "".join(right)
 
 
 def test_warc(spark, docs, empty, tmp_path):
