@@ -14,13 +14,14 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from volframe.llm.common import held_out, release_memory, stage, text_of
+from volframe.llm.common import first_by_hash, held_out, release_memory, stage, text_of
 
 # fixed values: general lexicons of insults, by language
 LEXICONS = {
@@ -34,7 +35,8 @@ _WORD = re.compile(r"[^\W\d_]+")
 _YOU = re.compile(r"\b(?:you|du|tu|vous|usted)\b[^.\n]{0,40}\b(?:are|bist|es|êtes)\b", re.I)
 _SHOUT = re.compile(r"!{2,}")
 STATISTICS = 4
-LEAST_RATIO = 26.0
+#: Chance that any of all stems without a leaning is taken for a typical one.
+STEM_ERROR = 0.05
 
 
 def stems_of(word: str) -> list[str]:
@@ -114,27 +116,28 @@ def hash_of(word: str) -> int:
 
 
 def label_model(votes: np.ndarray, share: float, start: np.ndarray, rounds: int = 40) -> tuple[np.ndarray, list[dict]]:
-    """Posterior of toxicity per row from votes (1 toxic, -1 clean, 0 none); start: first guess of each voter's leaning.
+    """Posterior of toxicity per row from votes (1 a vote, 0 none); start: first guess of each voter's leaning.
 
-    A voter's parameters are its rates of voting in both classes. Not voting is no evidence, as a lexicon of another
-    language says nothing. After each round of expectation maximisation, correlations of votes within a class beyond what
+    A voter's parameters are its rates of voting in both classes, so not voting is evidence, too: little where a voter is
+    rare among toxic texts, as a lexicon of another language is. After each round of expectation maximisation, correlations of votes within a class beyond what
     independence gives make up a factor for each voter, one over one plus their sum. Of the voters that speak on a row,
     the strongest counts in full and the others by their factors: voters that always agree are worth one voter, not less.
     """
     cast = (votes != 0).astype(float)
     n, m = votes.shape
     prior = np.log(share / (1 - share))
-    llr, trust = start.astype(float), np.ones(m)
+    llr, none, trust = start.astype(float), np.zeros(m), np.ones(m)
     q = np.full(n, share)
     p1 = p0 = np.full(m, 0.5)
     for _ in range(rounds):
         said = cast * llr
         top = np.abs(said).argmax(axis=1)
         strongest = said[np.arange(n), top] * (1 - trust[top])
-        q = 1 / (1 + np.exp(-np.clip(prior + said @ trust + strongest, -30, 30)))
+        q = 1 / (1 + np.exp(-np.clip(prior + said @ trust + strongest + (1 - cast) @ (none * trust), -30, 30)))
         a, b = q.sum(), (1 - q).sum()
         p1, p0 = (q @ cast + 0.5) / (a + 1), ((1 - q) @ cast + 0.5) / (b + 1)
-        llr = np.log(p1 / p0)
+        spoke = cast.any(axis=0)  # a voter that never did has no say
+        llr, none = np.where(spoke, np.log(p1 / p0), 0.0), np.where(spoke, np.log((1 - p1) / (1 - p0)), 0.0)
         left = cast - np.outer(q, p1) - np.outer(1 - q, p0)
         sd = np.sqrt((left**2).mean(axis=0)) + 1e-9
         corr = (left.T @ left) / n / np.outer(sd, sd)
@@ -162,9 +165,12 @@ def logistic(x: np.ndarray, q: np.ndarray, penalty: float, rounds: int = 25, wei
 
 
 def sample_of(docs: DataFrame, labels: DataFrame, label: str, rows: int, id_col: str, text_col: str) -> DataFrame:
-    """At most `rows` labelled rows that may be learned from (first by a hash of the id), with their texts."""
+    """At most `rows` labelled rows that may be learned from (first by a hash of the id), with their texts.
+
+    Ids are chosen first, texts are joined to the chosen ones; of labels of one id any one counts.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias(label)).where(F.col(label).isin(0, 1) & ~held_out("doc_id")).dropDuplicates(["doc_id"])
-    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    known = first_by_hash(known, rows, "doc_id")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     return stage(texts.join(known, "doc_id"), "labelled")
 
@@ -180,9 +186,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 16_000,
     nt, nc = sizes.get(1, 0), sizes.get(0, 0)
     lexicons = list(LEXICONS.values())
     stems: list[str] = []
+    least_ratio = 0.0
     if nt and nc:
         odds = F.log((F.col("t") + 0.5) / F.lit(nt + 1.0)) - F.log((F.col("c") + 0.5) / F.lit(nc + 1.0))
         counts = sample.select("text", "toxic").mapInPandas(_count_stems, "stem string, t long, c long").groupBy("stem").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+        counts = stage(counts, "op3-stems")
+        least_ratio = NormalDist().inv_cdf(1 - STEM_ERROR / 2 / max(1, counts.count())) ** 2
         found = counts.where(F.col("t") >= max(2, nt // 250)).withColumn("odds", odds).where("odds > 1.5").orderBy((F.col("odds") * F.sqrt("t")).desc(), F.length("stem"), "stem").limit(4 * most_stems).collect()
         stems = [r.stem for r in found]
     known = sorted({w + "$" for x in lexicons for w in x} - set(stems))
@@ -207,7 +216,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 16_000,
         share1, both = total[1] / (total[0] + total[1]), t + c
         # likelihood ratio of the stem's own share of toxic texts against that of all; most of many stems are rare by chance
         ratio = 2 * (t * np.log(max(t, 1) / (both * share1)) + (c * np.log(c / (both * (1 - share1))) if c else 0.0)) if both else 0.0
-        if lift > 2.0 and ratio > LEAST_RATIO:
+        if lift > 2.0 and ratio > least_ratio:
             ranked.append((-lift * np.sqrt(t), len(s), s, j))
     for _, _, s, j in sorted(ranked):
         bare = s.rstrip("$")
@@ -219,9 +228,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 16_000,
     use += [j for j, s in enumerate(stems) if s in known and j not in use]
 
     n_mined = len(taken)
-    any_hit = (hits[:, use[:n_mined]].max(axis=1) if n_mined else np.zeros(len(rows))) + lex.max(axis=1, initial=0) > 0
-    votes = np.concatenate([hits[:, use[:n_mined]], lex, stats[:, 1:3], -(~any_hit).astype(float)[:, None]], axis=1)
-    start = np.concatenate([np.full(n_mined, 3.0), np.full(len(lexicons), 3.0), np.full(2, 0.2), [-3.0]])
+    votes = np.concatenate([hits[:, use[:n_mined]], lex, stats[:, 1:3]], axis=1)
+    start = np.concatenate([np.full(n_mined, 3.0), np.full(len(lexicons), 3.0), np.full(2, 0.2)])
     share = float(np.clip(truth.mean() if len(truth) else 0.1, 0.005, 0.995))
     if len(rows):
         q, voters = label_model(votes, share, start)
@@ -229,9 +237,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 16_000,
         w = logistic(x, q, 0.03)
     else:
         q, voters, w = np.zeros(0), [], np.concatenate([np.full(len(use), 5.0), np.zeros(STATISTICS), [-3.0]])
-    if len(rows):  # words of the fixed lexicons that no labelled row shows keep a plain weight
+    if len(rows):  # words of the fixed lexicons that no labelled row shows count as the lexicon's voter was found to
         unseen = hits[:, use].sum(axis=0) == 0
-        w[: len(use)][unseen] = 4.0
+        says = [max(0.0, float(np.log(v["rate_toxic"] / v["rate_clean"]))) * v["trust"] * bool(lex[:, i].any()) for i, v in enumerate(voters[n_mined : n_mined + len(lexicons)])]
+        for k in np.flatnonzero(unseen):
+            w[k] = max((s for s, x in zip(says, lexicons, strict=True) if stems[use[k]].rstrip("$") in x), default=0.0)
     model = ToxicityModel([stems[j] for j in use], w[:-1], float(w[-1]), voters=voters)
     if nt >= 5 and nc >= 5:
         z = x @ w
