@@ -320,21 +320,87 @@ def test_shards_are_multinomial_draws(spark):
     assert draws(goals.where("false"), 16, 8, 3).count() == 0
 
 
-def test_models(spark, sf_dir, docs, empty):
-    from volframe.llm.queries import table
+def test_models(spark, docs, empty):
+    """Held-out rows are never learned from: their labels are predicted, both classes well. Edge rows have a score each."""
+    from volframe.llm.queries import op3_toxicity, op5_quality, table
     from volframe.llm.quality import fit_quality, quality
     from volframe.llm.toxicity import fit_toxicity, toxicity
 
-    corpus, labels = table(spark, "/root/testdata/sf0.01", "documents"), table(spark, "/root/testdata/sf0.01", "labels")
-    truth = {r.doc_id: r for r in labels.collect()}
-    model = fit_quality(corpus, labels)
-    rows = [r for r in quality(corpus, model).collect() if r.doc_id in truth]
-    assert np.mean([(r.score >= 0.3) == truth[r.doc_id].quality for r in rows]) > 0.97
-    assert quality(docs, model).count() == len(ROWS) and quality(empty, model).count() == 0
-    toxic = fit_toxicity(corpus, labels)
-    rows = [r for r in toxicity(corpus, toxic).collect() if r.doc_id in truth]
-    assert not [r for r in rows if r.score >= 0.5 and not truth[r.doc_id].toxic][2:]
-    assert toxicity(docs, toxic).count() == len(ROWS) and toxicity(empty, toxic).count() == 0
+    sf = "/root/testdata/sf0.01"
+    corpus, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    larger = "/root/testdata/sf0.1"
+    for query, label, where, least in ((op3_toxicity, "toxic", larger, (0.99, 0.75)), (op5_quality, "quality", sf, (0.9, 0.95))):
+        known = {r.doc_id: r[label] for r in table(spark, where, "labels").collect()}
+        rows = [(r.predicted, known[r.doc_id]) for r in query(spark, where).where("held_out").collect() if r.doc_id in known]
+        for y in (0, 1):
+            own = [p == y for p, t in rows if t == y]
+            assert len(own) >= 10 and np.mean(own) >= least[y], (label, y, np.mean(own), len(own))
+    for model, score in ((fit_quality(corpus, labels), quality), (fit_toxicity(corpus, labels), toxicity)):
+        got = {}
+        for r in score(docs, model).collect():
+            got.setdefault(r.doc_id, []).append(r.score)
+        assert sorted(map(len, got.values())) == [1, 1, 1, 1, 1, 2] and len(set(got[2])) == 1 and got[3] == got[4]
+        assert all(0 <= x <= 1 for v in got.values() for x in v) and score(empty, model).count() == 0
+    for fit, score in ((fit_quality, quality), (fit_toxicity, toxicity)):  # no labels, labels of no use
+        odd = spark.createDataFrame([(1, None, None), (None, 1, 1), (2, 7, 7)], "doc_id long, quality int, toxic int")
+        assert score(docs, fit(docs, odd)).count() == len(ROWS)
+
+
+def test_label_model_gives_the_posteriors_of_bayes():
+    """Votes drawn from a known model: rates, posteriors (by enumeration of Bayes' rule) and repeated voters."""
+    from volframe.llm.toxicity import label_model
+
+    rng = np.random.default_rng(1)
+    y = rng.random(6000) < 0.2
+    rates = [(0.7, 0.05), (0.5, 0.02), (0.6, 0.1), (0.3, 0.01)]
+    votes = np.stack([(rng.random(6000) < np.where(y, a, b)).astype(float) for a, b in rates] + [np.zeros(6000)], axis=1)
+    q, facts = label_model(votes, 0.2, np.full(5, 3.0))
+    for f, (a, b) in zip(facts, rates, strict=False):
+        assert abs(f["rate_toxic"] - a) < 0.04 and abs(f["rate_clean"] - b) < 0.02 and f["trust"] > 0.9
+    exact = [np.log(0.2 / 0.8) + sum(np.log(a / b) if v else np.log((1 - a) / (1 - b)) for v, (a, b) in zip(row, rates, strict=False)) for row in votes]
+    exact = 1 / (1 + np.exp(-np.array(exact)))
+    assert np.mean((q > 0.5) == (exact > 0.5)) > 0.99 and np.abs(q - exact).max() < 0.15
+    twice = np.concatenate([votes, votes[:, :1], votes[:, :1]], axis=1)  # a voter three times over is worth about one
+    q3, facts3 = label_model(twice, 0.2, np.full(7, 3.0))
+    assert facts3[0]["trust"] < 0.45 and np.mean((q3 > 0.5) == (exact > 0.5)) > 0.93
+
+
+def test_forward_backward_against_all_paths():
+    from itertools import product
+
+    from volframe.llm.quality import forward_backward, gradient
+
+    rng = np.random.default_rng(3)
+    s, start, turn = rng.normal(size=(3, 6)) * 2, rng.normal(size=2), rng.normal(size=(2, 2))
+    on = np.array([[True] * 6, [True] * 4 + [False] * 2, [True] + [False] * 5])
+    good, pair, logz = forward_backward(s, on, start, turn)
+    pairs = np.zeros((2, 2))
+    for d in range(3):
+        t, z, marginal, own = int(on[d].sum()), 0.0, np.zeros(6), np.zeros((2, 2))
+        for path in product((0, 1), repeat=t):
+            p = np.exp(start[path[0]] + sum((y - 0.5) * s[d, i] for i, y in enumerate(path)) + sum(turn[a, b] for a, b in zip(path, path[1:])))
+            z += p
+            marginal[:t] += p * np.array(path)
+            for a, b in zip(path, path[1:]):
+                own[a, b] += p
+        assert np.allclose(good[d, :t], marginal[:t] / z) and np.isclose(logz[d], np.log(z))
+        pairs += own / z
+    assert np.allclose(pair, pairs)
+    # the gradient is that of the log likelihood
+    x, y = rng.normal(size=(3, 6, 4)), (rng.random((3, 6)) < 0.5).astype(float)
+    theta = rng.normal(size=10)
+
+    def loglik(v):
+        w, st, tu = v[:4], v[4:6], v[6:].reshape(2, 2)
+        total = -forward_backward(x @ w, on, st, tu)[2].sum()
+        for d in range(3):
+            t, lab = int(on[d].sum()), y[d].astype(int)
+            total += st[lab[0]] + sum((lab[i] - 0.5) * (x[d, i] @ w) for i in range(t)) + sum(tu[lab[i], lab[i + 1]] for i in range(t - 1))
+        return total
+
+    g = gradient(theta, x, on, y)
+    numeric = np.array([(loglik(theta + e) - loglik(theta - e)) / 2e-5 for e in np.eye(10) * 1e-5])
+    assert np.allclose(g, numeric, atol=1e-4)
 
 
 def test_license_scan(spark, docs, empty):

@@ -14,10 +14,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from volframe.llm.common import text_of
+from volframe.llm.common import release_memory, stage, text_of
 from volframe.llm.toxicity import logistic, sample_of
 
 _TAIL = re.compile(r"[^\w\s]{2,}(?=\s|$)")
@@ -48,9 +48,12 @@ def document_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     lines = [x for x in text.split("\n") if x.strip()] or [""]
     seen: set[str] = set()
     own = np.array([line_features(x, seen) for x in lines])
+    return with_neighbours(own), np.array([max(len(x), 1) for x in lines], float)
+
+
+def with_neighbours(own: np.ndarray) -> np.ndarray:
     edge = np.zeros((1, FEATURES))
-    x = np.concatenate([own, np.concatenate([edge, own[:-1]]), np.concatenate([own[1:], edge])], axis=1)
-    return x, np.array([max(len(x), 1) for x in lines], float)
+    return np.concatenate([own, np.concatenate([edge, own[:-1]]), np.concatenate([own[1:], edge])], axis=1)
 
 
 @dataclass
@@ -103,21 +106,43 @@ def forward_backward(s: np.ndarray, on: np.ndarray, start: np.ndarray, turn: np.
     return good, pair, np.log(scale).sum(axis=1)
 
 
-def train(x: np.ndarray, on: np.ndarray, y: np.ndarray, rounds: int, model: LineModel | None = None) -> LineModel:
-    """Adam on the log likelihood of the line labels y. x: documents x lines x features."""
+Bucket = tuple[np.ndarray, np.ndarray, np.ndarray]  # documents x lines x features, which lines there are, their labels
+
+
+def gradient(theta: np.ndarray, x: np.ndarray, on: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Of the log likelihood of the line labels y in (weights, start, turn)."""
     f = x.shape[2]
+    w, start, turn = theta[:f], theta[f : f + 2], theta[f + 2 :].reshape(2, 2)
+    good, pair, _ = forward_backward(x @ w, on, start, turn)
+    g = np.zeros_like(theta)
+    g[:f] = np.tensordot(np.where(on, y - good, 0.0), x, 2)
+    g[f : f + 2] = [(good[:, 0] - y[:, 0]).sum(), (y[:, 0] - good[:, 0]).sum()]
+    both = on[:, 1:]
+    seen = np.array([[(both * (1 - y[:, :-1]) * (1 - y[:, 1:])).sum(), (both * (1 - y[:, :-1]) * y[:, 1:]).sum()], [(both * y[:, :-1] * (1 - y[:, 1:])).sum(), (both * y[:, :-1] * y[:, 1:]).sum()]])
+    g[f + 2 :] = (seen - pair).ravel()
+    return g
+
+
+def in_buckets(xs: list[np.ndarray], truth: np.ndarray) -> list[Bucket]:
+    """Whole documents, padded to the longest of their bucket: lengths up to a power of two are in one bucket."""
+    out, sizes = [], np.array([(len(d) - 1).bit_length() for d in xs])
+    for size in np.unique(sizes):
+        own = np.flatnonzero(sizes == size)
+        t = max(len(xs[i]) for i in own)
+        x, on = np.zeros((len(own), t, xs[0].shape[1])), np.zeros((len(own), t), bool)
+        for k, i in enumerate(own):
+            x[k, : len(xs[i])], on[k, : len(xs[i])] = xs[i], True
+        out.append((x, on, np.repeat(truth[own].astype(float)[:, None], t, axis=1)))
+    return out
+
+
+def train(buckets: list[Bucket], rounds: int, model: LineModel | None = None) -> LineModel:
+    """Adam on the log likelihood of the line labels, summed over all buckets at each step."""
+    f = buckets[0][0].shape[2]
     theta = np.zeros(f + 6) if model is None else np.concatenate([model.weights, model.start, model.turn.ravel()])
-    m, v, n = np.zeros_like(theta), np.zeros_like(theta), on.sum()
+    m, v, n = np.zeros_like(theta), np.zeros_like(theta), sum(on.sum() for _, on, _ in buckets)
     for k in range(1, rounds + 1):
-        w, start, turn = theta[:f], theta[f : f + 2], theta[f + 2 :].reshape(2, 2)
-        good, pair, _ = forward_backward(x @ w, on, start, turn)
-        g = np.zeros_like(theta)
-        g[:f] = np.tensordot(np.where(on, y - good, 0.0), x, 2)
-        g[f : f + 2] = [(good[:, 0] - y[:, 0]).sum(), (y[:, 0] - good[:, 0]).sum()]
-        both = on[:, 1:]
-        seen = np.array([[(both * (1 - y[:, :-1]) * (1 - y[:, 1:])).sum(), (both * (1 - y[:, :-1]) * y[:, 1:]).sum()], [(both * y[:, :-1] * (1 - y[:, 1:])).sum(), (both * y[:, :-1] * y[:, 1:]).sum()]])
-        g[f + 2 :] = (seen - pair).ravel()
-        g = g / n - 1e-4 * theta
+        g = sum(gradient(theta, *b) for b in buckets) / n - 1e-4 * theta
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         theta = theta + 0.15 * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.99**k)) + 1e-9)
     return LineModel(theta[:f], theta[f : f + 2], theta[f + 2 :].reshape(2, 2))
@@ -128,34 +153,39 @@ def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for text in pdf.text:
             x, length = document_features(text)
-            out.append((x.astype(np.float32).tobytes(), length))
-        yield pd.concat([pdf[["quality"]].reset_index(drop=True), pd.DataFrame(out, columns=["x", "length"])], axis=1)
+            out.append((x[:, :FEATURES].astype(np.float32).tobytes(), length.astype(np.float32).tobytes(), len(x)))
+        yield pd.concat([pdf[["doc_id", "quality"]].reset_index(drop=True), pd.DataFrame(out, columns=["x", "length", "lines"])], axis=1)
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = 4000, sample_lines: int = 48, id_col: str = "doc_id", text_col: str = "text") -> LineModel:
-    """Learn from at most sample_rows labelled documents, of which at most sample_lines lines each are learned from.
+def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = 4000, most_lines: int = 200_000, id_col: str = "doc_id", text_col: str = "text") -> LineModel:
+    """Learn from whole labelled documents: at most sample_rows, and so many of these (in order of a hash) as have most_lines
+    lines together, which bounds what the driver sees.
 
-    Both bounds concern learning alone. Rows without a label, with labels other than 0 and 1, or held out are left out.
-    With labels of one class or none, lines are told apart by repeated words and symbols only.
+    Rows without a label, with labels other than 0 and 1, or held out are left out. With labels of one class or none, lines
+    are told apart by repeated words and symbols only.
     """
-    rows = sample_of(docs, labels, "quality", sample_rows, id_col, text_col).select("text", "quality").mapInPandas(_features, "quality int, x binary, length array<double>").toPandas()
+    rows = sample_of(docs, labels, "quality", sample_rows, id_col, text_col).select("doc_id", "text", "quality").mapInPandas(_features, "doc_id long, quality int, x binary, length binary, lines int")
+    rows = stage(rows, "op5-lines")
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "h").rowsBetween(Window.unboundedPreceding, 0)  # sample_rows small rows at most
+    chosen = rows.select("doc_id", "lines", F.xxhash64("x").alias("h")).withColumn("so_far", F.sum("lines").over(order))
+    chosen = chosen.where(F.col("so_far") <= most_lines).select("doc_id", "h").distinct()
+    rows = rows.withColumn("h", F.xxhash64("x")).join(chosen, ["doc_id", "h"]).orderBy("doc_id", "h").select("quality", "x", "length").toPandas()
     truth = rows.quality.to_numpy() if len(rows) else np.zeros(0)
     if len(set(truth.tolist())) < 2:
         w = np.zeros(3 * FEATURES)
         w[[0, 5, 6, 8, 10]] = [4.0, -8.0, -12.0, -12.0, -20.0]
         return LineModel(w, np.zeros(2), np.array([[1.0, 0.0], [0.0, 1.0]]), (1.0, 0.0))
-    xs = [np.frombuffer(b, np.float32).reshape(-1, 3 * FEATURES).astype(float) for b in rows.x]
-    t = min(sample_lines, max(map(len, xs)))
-    x, on = np.zeros((len(xs), t, 3 * FEATURES)), np.zeros((len(xs), t), bool)
-    for i, d in enumerate(xs):
-        x[i, : len(d)], on[i, : len(d)] = d[:t], True
-    y = np.repeat(truth.astype(float)[:, None], t, axis=1)
-    model = train(x, on, y, 120)
-    good, _, _ = forward_backward(x @ model.weights, on, model.start, model.turn)
-    again = np.where((truth[:, None] == 0) & (good > 0.7), 1.0, y)
-    again = np.where((truth == 0)[:, None] & ((again * on).sum(axis=1) == on.sum(axis=1))[:, None], y, again)  # a bad document keeps a bad line
-    model = train(x, on, again, 80, model)
-    means = np.clip([model.mean_good(d, np.asarray(n)) for d, n in zip(xs, rows.length, strict=True)], 1e-6, 1 - 1e-6)
+    xs = [with_neighbours(np.frombuffer(b, np.float32).reshape(-1, FEATURES).astype(float)) for b in rows.x]
+    buckets = in_buckets(xs, truth)
+    model = train(buckets, 120)
+    again = []
+    for x, on, y in buckets:
+        good, _, _ = forward_backward(x @ model.weights, on, model.start, model.turn)
+        bad = y[:, :1] == 0
+        new = np.where(bad & (good > 0.7), 1.0, y)
+        again.append((x, on, np.where(bad & ((new * on).sum(axis=1) == on.sum(axis=1))[:, None], y, new)))  # a bad document keeps a bad line
+    model = train(again, 80, model)
+    means = np.clip([model.mean_good(d, np.frombuffer(n, np.float32)) for d, n in zip(xs, rows.length, strict=True)], 1e-6, 1 - 1e-6)
     a, b = logistic(np.stack([np.log(means / (1 - means)), np.ones(len(means))], axis=1), truth.astype(float), 0.05)
     model.scale = (float(max(a, 0.05)), float(b))
     return model
@@ -165,6 +195,7 @@ def _score(model: LineModel):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf.doc_id, "score": [model.score(t) for t in pdf.text]})
+        release_memory()
 
     return run
 
