@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 YEAR = 365.0
@@ -16,8 +16,8 @@ def npdf(x: Column) -> Column:
 
 
 #: fixed values: rational approximation of the normal tail by W. J. Cody's scheme as given by G. West (2005)
-_NUM = (0.0352624965998911, 0.700383064443688, 6.37396220353165, 33.912866078383, 112.079291497871, 221.213596169931, 220.206867912376)
-_DEN = (0.0883883476483184, 1.75566716318264, 16.064177579207, 86.7807322029461, 296.564248779674, 637.333633378831, 793.826512519948, 440.413735824752)
+NUM = (0.0352624965998911, 0.700383064443688, 6.37396220353165, 33.912866078383, 112.079291497871, 221.213596169931, 220.206867912376)
+DEN = (0.0883883476483184, 1.75566716318264, 16.064177579207, 86.7807322029461, 296.564248779674, 637.333633378831, 793.826512519948, 440.413735824752)
 
 
 def _horner(x: Column, c: tuple[float, ...]) -> Column:
@@ -30,7 +30,7 @@ def _horner(x: Column, c: tuple[float, ...]) -> Column:
 def ncdf(x: Column) -> Column:
     """Normal distribution function, to about 1e-15."""
     z = F.abs(x)
-    near = F.exp(-z * z / 2) * _horner(z, _NUM) / _horner(z, _DEN)
+    near = F.exp(-z * z / 2) * _horner(z, NUM) / _horner(z, DEN)
     far = npdf(z) / (z + 1 / (z + 2 / (z + 3 / (z + 4 / (z + F.lit(0.65))))))
     tail = F.when(z > 37, F.lit(0.0)).when(z < 7.07106781186547, near).otherwise(far)
     return F.when(x > 0, 1 - tail).otherwise(tail)
@@ -60,23 +60,40 @@ def bs_price(spot: Column, strike: Column, t: Column, r: Column, sigma: Column,
     return F.when((t <= 0) | (sigma <= 0), F.greatest(sign * (spot - strike), F.lit(0.0))).otherwise(live)
 
 
-def greeks(spot: Column, strike: Column, t: Column, r: Column, sigma: Column, is_call: Column) -> dict[str, Column]:
-    """delta, gamma, vega (per 1.00), theta (per calendar day of 365.25), rho, vanna, volga. An expired put has delta 0."""
-    root = F.sqrt(t)
-    one = (F.log(spot / strike) + (r + sigma * sigma / 2) * t) / (sigma * root)
-    two, disc = one - sigma * root, F.exp(-r * t)
-    sign = F.when(is_call, F.lit(1.0)).otherwise(-1.0)
-    live = (t > 0) & (sigma > 0)
-    vega = spot * npdf(one) * root
-    return {
-        "delta": F.when(live, sign * ncdf(sign * one)).otherwise(F.when(is_call & (spot > strike), 1.0).otherwise(0.0)),
-        "gamma": F.when(live, npdf(one) / (spot * sigma * root)).otherwise(0.0),
-        "vega": F.when(live, vega).otherwise(0.0),
-        "theta": F.when(live, (-spot * npdf(one) * sigma / (2 * root) - sign * r * strike * disc * ncdf(sign * two)) / 365.25).otherwise(0.0),
-        "rho": F.when(live, sign * strike * t * disc * ncdf(sign * two)).otherwise(0.0),
-        "vanna": F.when(live, -npdf(one) * two / sigma).otherwise(0.0),
-        "volga": F.when(live, vega * one * two / sigma).otherwise(0.0),
-    }
+def with_black76(rows: DataFrame, name: str, forward: str, strike: str, t: str, sigma: str, discount: str, is_call: Column) -> DataFrame:
+    """rows with the price of black76 as a column. What it is made of is staged in columns, so that nothing is computed twice."""
+    f, k, d = F.col(forward), F.col(strike), F.col(discount)
+    live = (F.col(t) > 0) & (F.col(sigma) > 0)
+    p = rows.withColumn("_sign", F.when(is_call, F.lit(1.0)).otherwise(-1.0)).withColumn("_d1", F.when(live, d1(f, k, F.col(t), F.col(sigma))))
+    p = p.withColumn("_d2", F.col("_sign") * (F.col("_d1") - F.col(sigma) * F.sqrt(t))).withColumn("_d1", F.col("_sign") * F.col("_d1"))
+    p = p.withColumns({"_n1": ncdf(F.col("_d1")), "_n2": ncdf(F.col("_d2"))})
+    price = F.when(live, d * F.col("_sign") * (f * F.col("_n1") - k * F.col("_n2"))).otherwise(d * F.greatest(F.col("_sign") * (f - k), F.lit(0.0)))
+    return p.withColumn(name, price).drop("_sign", "_d1", "_d2", "_n1", "_n2")
+
+
+def with_greeks(rows: DataFrame, spot: str, strike: str, t: str, r: str, sigma: str, is_call: Column) -> DataFrame:
+    """rows with price, delta, gamma, vega (per 1.00), theta (per calendar day of 365.25), rho, vanna and volga.
+
+    An expired option, or one without volatility, has its undiscounted intrinsic value, a delta of 0 or 1 (a put's is 0)
+    and no other Greeks. A null among the inputs gives nulls.
+    """
+    s, k, y, v = F.col(spot), F.col(strike), F.col(t), F.col(sigma)
+    live = (y > 0) & (v > 0)
+    p = rows.withColumn("_sign", F.when(is_call, F.lit(1.0)).otherwise(-1.0)).withColumn("_root", F.sqrt(y)).withColumn("_disc", F.exp(-F.col(r) * y))
+    p = p.withColumn("_d1", F.when(live, (F.log(s / k) + (F.col(r) + v * v / 2) * y) / (v * F.col("_root")))).withColumn("_d2", F.col("_d1") - v * F.col("_root"))
+    p = p.withColumns({"_z1": F.col("_sign") * F.col("_d1"), "_z2": F.col("_sign") * F.col("_d2"), "_pdf": npdf(F.col("_d1"))})
+    p = p.withColumns({"_n1": ncdf(F.col("_z1")), "_n2": ncdf(F.col("_z2")), "_vega": s * F.col("_pdf") * F.col("_root")})
+    sign, root, disc, pdf, n1, n2, one, two = (F.col(c) for c in ("_sign", "_root", "_disc", "_pdf", "_n1", "_n2", "_d1", "_d2"))
+    known = s.isNotNull() & k.isNotNull() & y.isNotNull() & v.isNotNull() & F.col(r).isNotNull()
+    zero = F.when(known, F.lit(0.0))
+    live_or = lambda x: F.when(live, x).otherwise(zero)
+    out = {
+        "price": F.when(live, sign * (s * n1 - k * disc * n2)).otherwise(F.when(known, F.greatest(sign * (s - k), F.lit(0.0)))),
+        "delta": F.when(live, sign * n1).otherwise(F.when(known, F.when(is_call & (s > k), 1.0).otherwise(0.0))),
+        "gamma": live_or(pdf / (s * v * root)), "vega": live_or(F.col("_vega")), "theta": live_or((-s * pdf * v / (2 * root) - sign * F.col(r) * k * disc * n2) / 365.25),
+        "rho": live_or(sign * k * y * disc * n2), "vanna": live_or(-pdf * two / v), "volga": live_or(F.col("_vega") * one * two / v),
+    }
+    return p.withColumns(out).drop("_sign", "_root", "_disc", "_d1", "_d2", "_z1", "_z2", "_pdf", "_n1", "_n2", "_vega")
 
 
 def svi(k: Column, a: Column, b: Column, rho: Column, m: Column, sigma: Column) -> Column:

@@ -5,25 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from volframe.operators.timeseries import day_numbers
+
 
 def coverage(present: DataFrame, sessions: DataFrame, key: str = "ticker", date: str = "date") -> DataFrame:
-    """Per key: first, last, present and expected sessions, coverage in percent, the first ten missing dates."""
-    days = present.select(key, date).distinct()
-    span = days.groupBy(key).agg(F.min(date).alias("first"), F.max(date).alias("last"), F.count("*").alias("present"))
-    expected = span.join(sessions.select("session"), F.col("session").between(F.col("first"), F.col("last"))).select(key, "session")
-    missing = expected.join(days.select(key, F.col(date).alias("session")), [key, "session"], "left_anti")
-    missing = missing.groupBy(key).agg(F.count("*").alias("missing"), F.slice(F.array_sort(F.collect_list("session")), 1, 10).alias("first_missing"))
-    n = expected.groupBy(key).agg(F.count("*").alias("expected"))
-    out = span.join(n, key, "left").join(missing, key, "left").withColumn("missing", F.coalesce("missing", F.lit(0)))
+    """Per key: first, last, present and expected sessions, coverage in percent, the first ten missing dates.
+
+    Expected sessions are a difference of session numbers; only keys that miss some are laid out day by day. Repeated days
+    count once, null dates and dates without a session number are not present.
+    """
+    numbers = day_numbers(sessions, 0)
+    days = present.select(key, date).where(F.col(date).isNotNull()).distinct().join(sessions.select(F.col("session").alias(date), "seq"), date, "left")
+    span = days.groupBy(key).agg(F.min(date).alias("first"), F.max(date).alias("last"), F.count("*").alias("present"), F.count("seq").alias("_have"))
+    for c, n, at in (("first", "_a", F.date_add("day", 1)), ("last", "_b", F.col("day"))):
+        span = span.join(numbers.select(at.alias(c), F.col("pos").alias(n)), c, "left")
+    out = span.withColumn("expected", F.col("_b") - F.col("_a")).withColumn("missing", F.col("expected") - F.col("_have"))
+    gaps = out.where("missing > 0").select(key, F.explode(F.sequence(F.col("_a") + 1, F.col("_b"))).alias("seq"))
+    gaps = gaps.join(days.where("seq is not null").select(key, F.col("seq").cast("long").alias("seq")), [key, "seq"], "left_anti").join(sessions, "seq")
+    gaps = gaps.groupBy(key).agg(F.slice(F.array_sort(F.collect_list("session")), 1, 10).alias("first_missing"))
+    out = out.join(gaps, key, "left").drop("_a", "_b", "_have")
     return out.withColumn("coverage", F.when(F.col("expected") > 0, 100.0 * (F.col("expected") - F.col("missing")) / F.col("expected")))
 
 
 def freshness(present: DataFrame, sessions: DataFrame, key: str = "ticker", date: str = "date") -> DataFrame:
-    """Per key: latest date, sessions after it up to the newest date of all, and whether it lags."""
-    last = present.groupBy(key).agg(F.max(date).alias("latest"))
-    newest = present.agg(F.max(date).alias("newest"))
-    late = last.join(newest).join(sessions, (F.col("session") > F.col("latest")) & (F.col("session") <= F.col("newest")), "left")
-    return late.groupBy(key, "latest").agg(F.count("session").alias("sessions_behind")).withColumn("lags", F.col("sessions_behind") > 0)
+    """Per key: latest date, sessions after it up to the newest date of all, and whether it lags; null dates don't count."""
+    numbers = day_numbers(sessions, 0)
+    last = present.where(F.col(date).isNotNull()).groupBy(key).agg(F.max(date).alias("latest"))
+    newest = last.agg(F.max("latest").alias("day")).join(numbers, "day").select(F.col("pos").alias("_newest"))  # one row
+    late = last.join(numbers, F.col("latest") == F.col("day"), "left").join(F.broadcast(newest))
+    return late.select(key, "latest", (F.col("_newest") - F.col("pos")).alias("sessions_behind")).withColumn("lags", F.col("sessions_behind") > 0)
 
 
 def chain_quality(chain: DataFrame, keys=("ticker", "as_of"), least_rows: int = 200, least_expiries: int = 4) -> DataFrame:

@@ -16,9 +16,18 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, by
     """left with the last non-null value of each of `values` at or before left_on (strict: before; forward: the next one).
 
     Each value column looks for its own last non-null row. Rows of left without a match get nulls; a null time matches
-    nothing; repeated rows of left stay repeated.
+    nothing; repeated rows of left stay repeated. A value may not have the name of a column of left. Without keys, the
+    search is over the distinct times of both sides, of which there are few, and the rows of left get their values by an
+    equi-join on the time; there, of values at one time, the largest counts.
     """
     by = list(by)
+    if set(values) & set(left.columns):
+        raise ValueError(f"left has {sorted(set(values) & set(left.columns))} already")
+    if not by:
+        times = left.select(F.lit(1).alias("_one"), F.col(left_on).alias("_at")).where(F.col("_at").isNotNull()).distinct()
+        found = right.groupBy(F.col(right_on).alias("_t")).agg(*[F.max(v).alias(v) for v in values]).withColumn("_one", F.lit(1))
+        found = asof_join(times, found, "_at", "_t", ["_one"], values, strict, forward).drop("_one")
+        return left.join(found, F.col(left_on) == F.col("_at"), "left").drop("_at")
     l = left.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col(left_on).alias("_t"), F.struct(*left.columns).alias("_row"), *[F.lit(None).cast(right.schema[v].dataType).alias(f"_v{i}") for i, v in enumerate(values)])
     r = right.where(F.col(right_on).isNotNull()).select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col(right_on).alias("_t"), F.lit(None).cast(l.schema["_row"].dataType).alias("_row"), *[F.col(v).alias(f"_v{i}") for i, v in enumerate(values)])
     # at equal times the right rows come first, unless matches must be strictly on one side
@@ -40,13 +49,31 @@ def calendar(dates: DataFrame, column: str = "date", holidays: Sequence = ()) ->
     return days.withColumn("seq", F.row_number().over(Window.orderBy("session")))
 
 
+def day_numbers(sessions: DataFrame, after: int = 800) -> DataFrame:
+    """day, pos: the number of the last session on or before each calendar day, up to `after` days beyond the calendar.
+
+    Days beyond the calendar count weekdays as sessions; the day before the first session has number 0. A row per day.
+    """
+    span = sessions.agg(F.min("session").alias("a"), F.max("session").alias("b"))
+    days = span.select(F.explode(F.sequence(F.date_sub("a", 1), F.date_add("b", after))).alias("day"), "b")
+    days = days.join(sessions, F.col("day") == F.col("session"), "left")
+    hit = F.when(F.col("seq").isNotNull() | ((F.col("day") > F.col("b")) & (F.weekday("day") < 5)), 1).otherwise(0)
+    return days.select("day", F.sum(hit).over(Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)).alias("pos"))
+
+
 def align(frame: DataFrame, sessions: DataFrame, key: str, date: str) -> DataFrame:
-    """frame with its session number, so that `seq - n` is n sessions back; dates that are no session have none."""
+    """frame with its session number, so that `seq - n` is n sessions back; dates that are no session have none.
+
+    sessions has each session once, so rows are neither lost nor repeated; a null date has no number.
+    """
     return frame.join(sessions.select(F.col("session").alias(date), "seq"), date, "left")
 
 
 def shifted(frame: DataFrame, key: str, value: str, n: int, name: str) -> DataFrame:
-    """frame with the value of n sessions before (after, if n is negative), null where that session has no row."""
+    """frame with the value of n sessions before (after, if n is negative), null where that session has no row.
+
+    frame has one row per key and session; a row whose key or number is null gets null.
+    """
     other = frame.select(F.col(key), (F.col("seq") + n).alias("seq"), F.col(value).alias(name))
     return frame.join(other, [key, "seq"], "left")
 
@@ -69,13 +96,20 @@ def rolling_rank(x: Column, w, least: int) -> Column:
 
 
 def forward_sum(x: Column, key: str, order: str, h: int) -> Column:
-    """Sum of the next h rows, this one not included; null unless all h are there."""
+    """Sum of the next h rows, this one not included; null unless all h are there and none is null.
+
+    A key has one row per value of order; rows of a null key are a key of their own.
+    """
     w = Window.partitionBy(key).orderBy(order).rowsBetween(1, h)
     return F.when(F.count(x).over(w) == h, F.sum(x).over(w))
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Full outer join on the keys; a new value that isn't null wins. Running it again changes nothing."""
+    """Full outer join on the keys; a new value that isn't null wins. Running it again changes nothing.
+
+    Null keys match each other. Both sides have one row per key: repeated ones would be paired, so drop them first
+    (keep_last). Columns of one side alone stay, null where that side has no row.
+    """
     values = list(dict.fromkeys(c for c in (*new.columns, *old.columns) if c not in keys))
     a, b = new.alias("n"), old.alias("o")
     joined = a.join(b, [F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys], "full_outer")

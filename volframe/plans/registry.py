@@ -16,6 +16,9 @@ from volframe.operators import surface as S
 from volframe.operators import timeseries as T
 from volframe.sources import fixtures as X
 
+#: The standard grid: forward log-moneyness and tenors in years.
+K_GRID = [round(-0.4 + 0.025 * i, 3) for i in range(25)]
+T_GRID = [7 / 365, 14 / 365, 30 / 365, 60 / 365, 91 / 365, 0.5, 1.0, 2.0]
 _Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
@@ -360,13 +363,6 @@ def quality_report(spark, d):
     return rounded(Q.chain_quality(X.chain(spark, d)), "spread")
 
 
-@query()
-def black76_greeks(spark, d):
-    c = X.chain(spark, d)
-    g = P.greeks(F.col("spot"), F.col("strike"), F.col("T"), F.lit(0.04), F.col("iv"), F.col("option_type") == "call")
-    return c.select("ticker", "as_of", "T", "strike", "option_type", r("mid").alias("price"), *[r(v).alias(n) for n, v in g.items()])
-
-
 @query()
 def svi_fit_recovery(spark, d):
     return rounded(S.fit_surfaces(S.otm_quotes(X.chain(spark, d))).select("ticker", "as_of", "T", "forward", "source", "n", "rmse"), "forward", "rmse", digits=4)
@@ -376,16 +372,14 @@ def svi_fit_recovery(spark, d):
 def surface_grid(spark, d):
     """SVI slices on a grid of strikes and tenors, made free of calendar arbitrage, with density and verdict."""
     slices = S.fit_surfaces(S.otm_quotes(X.chain(spark, d)))
-    points = spark.range(25).selectExpr("-0.4 + id * 0.025 as k").join(spark.createDataFrame([(t,) for t in (7 / 365, 14 / 365, 30 / 365, 60 / 365, 91 / 365, 0.5, 1.0, 2.0)], "tenor double"))
-    grid = S.density(S.calendar_filter(S.total_variance(slices, points)))
+    grid = S.density(S.calendar_filter(S.total_variance(slices, K_GRID, T_GRID)))
     return rounded(grid.select("ticker", "as_of", r("k").alias("k"), r("tenor").alias("tenor"), "w", "iv", "g"), "w", "iv", "g", digits=4)
 
 
 @query()
 def grid_qc(spark, d):
     slices = S.fit_surfaces(S.otm_quotes(X.chain(spark, d)))
-    points = spark.range(9).selectExpr("-0.4 + id * 0.075 as k").join(spark.createDataFrame([(t,) for t in (30 / 365, 0.5, 1.0)], "tenor double"))
-    return rounded(S.grid_verdict(S.total_variance(slices, points)), "missing", "lo", "hi", digits=4)
+    return rounded(S.grid_verdict(S.total_variance(slices, K_GRID, T_GRID)), "missing", "lo", "hi", digits=4)
 
 
 @query()
@@ -404,9 +398,16 @@ def track_record(spark, d):
     return rounded(out, "qlike", "covered")
 
 
+def _more() -> None:
+    """The modules that register further queries with query()."""
+    from volframe.plans import features, surfaces  # noqa: F401
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _more()
     return dict(_Q)
 
 
 def oracle_sql() -> dict[str, str]:
+    _more()
     return dict(_SQL)

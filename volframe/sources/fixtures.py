@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from volframe.operators.surface import black_price
+from volframe.functions import pricing
 from volframe.operators.timeseries import calendar
 
 TENORS = (1 / 12, 0.25, 0.5, 1.0, 2.0)
@@ -112,5 +112,71 @@ def chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = q.withColumn("k", -0.35 + F.col("i") * 0.53 / (STRIKES - 1)).withColumn("forward", F.col("spot") * F.exp(0.02 * F.col("T"))).withColumn("discount", F.exp(-0.04 * F.col("T")))
     q = q.withColumn("strike", F.col("forward") * F.exp("k")).withColumn("expiration", F.expr("date_add(as_of, cast(round(T * 365) as int))"))
     iv = 0.20 + 0.01 * F.col("T") - 0.025 * F.col("k") / F.sqrt(F.greatest(F.col("T"), F.lit(1 / 52))) + 0.06 * F.col("k") * F.col("k")
-    q = q.withColumn("iv", iv).withColumn("mid", black_price("forward", "strike", "T", "iv", "discount", F.col("option_type") == "call"))
+    q = pricing.with_black76(q.withColumn("iv", iv), "mid", "forward", "strike", "T", "iv", "discount", F.col("option_type") == "call")
     return q.withColumn("bid", F.col("mid") * 0.98).withColumn("ask", F.col("mid") * 1.02).withColumn("open_interest", F.pmod(F.col("i") * 37 + F.dayofyear("as_of"), F.lit(100))).drop("i")
+
+
+SLICE_TENORS = (0.02, 0.08, 0.25, 0.5, 1.0, 2.0)
+
+
+def slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Smiles by formula on the first session of each month: what a fit of a chain gives, known to SQL as well."""
+    w = Window.partitionBy("ticker", F.date_trunc("month", "date")).orderBy("date")
+    spots = bars(spark, sf_dir).withColumn("n", F.row_number().over(w)).where("n = 1").select("ticker", F.col("date").alias("as_of"), F.col("close").alias("spot"))
+    q = spots.select("*", F.dayofyear("as_of").alias("h"), F.posexplode(F.array(*map(F.lit, SLICE_TENORS))).alias("i", "T"))
+    root = F.sqrt("T")
+    return q.select(
+        "ticker", "as_of", "spot", "T", (F.col("spot") * F.exp(0.02 * F.col("T"))).alias("forward"), F.when((F.col("h") + F.col("i")) % 4 == 0, "carry").otherwise("parity").alias("source"),
+        (0.01 * F.col("T") + 0.0001 * (F.col("h") % 7)).alias("a"), (0.08 * root).alias("b"), (-0.5 + 0.02 * (F.col("h") % 10)).alias("rho"), (0.02 * root).alias("m"), (0.1 + 0.1 * root).alias("sigma"),
+        (-0.30 * root - 0.15 * (F.col("h") % 3)).alias("k_min"), (0.2 * root + 0.1).alias("k_max"), (0.001 * (1 + (F.col("h") + F.col("i")) % 5)).alias("rmse"), F.expr("date_add(as_of, cast(round(T * 365) as int))").alias("expiration"),
+    )
+
+
+SLICES_SQL = """
+first AS (SELECT ticker, date AS as_of, close AS spot, dayofyear(date) AS h FROM (SELECT *, row_number() OVER (PARTITION BY ticker, date_trunc('month', date) ORDER BY date) AS n FROM bars) WHERE n = 1),
+slices AS (SELECT ticker, as_of, spot, t AS "T", spot * exp(0.02 * t) AS forward, CASE WHEN (h + i) % 4 = 0 THEN 'carry' ELSE 'parity' END AS source,
+    0.01 * t + 0.0001 * (h % 7) AS a, 0.08 * sqrt(t) AS b, -0.5 + 0.02 * (h % 10) AS rho, 0.02 * sqrt(t) AS m, 0.1 + 0.1 * sqrt(t) AS sigma,
+    -0.30 * sqrt(t) - 0.15 * (h % 3) AS k_min, 0.2 * sqrt(t) + 0.1 AS k_max, (0.001 * (1 + (h + i) % 5))::DOUBLE AS rmse, as_of + round(t * 365)::INT AS expiration
+    FROM first, (SELECT unnest([0.02::DOUBLE, 0.08, 0.25, 0.5, 1.0, 2.0]) AS t, unnest([0, 1, 2, 3, 4, 5]) AS i))"""
+
+
+def ncdf_sql(x: str) -> str:
+    """Normal distribution function in SQL, for a column or a short expression x."""
+    z = f"abs({x})"
+    num, den = pricing.NUM, pricing.DEN
+    horner = lambda c: "(" * (len(c) - 1) + repr(c[0]) + "".join(f" * {z} + {v!r})" for v in c[1:])
+    far = f"exp(-{z} * {z} / 2) / sqrt(2 * pi()) / ({z} + 1 / ({z} + 2 / ({z} + 3 / ({z} + 4 / ({z} + 0.65)))))"
+    tail = f"CASE WHEN {z} > 37 THEN 0 WHEN {z} < 7.07106781186547 THEN exp(-{z} * {z} / 2) * {horner(num)} / {horner(den)} ELSE {far} END"
+    return f"(CASE WHEN {x} > 0 THEN 1 - {tail} ELSE {tail} END)"
+
+
+def wing_sql(s: str, k: str) -> str:
+    """Total variance of slice alias s at k, with tangents beyond its quoted strikes."""
+    svi = lambda at: f"({s}.a + {s}.b * ({s}.rho * ({at} - {s}.m) + sqrt(pow({at} - {s}.m, 2) + pow({s}.sigma, 2))))"
+    slope = lambda at: f"({s}.b * ({s}.rho + ({at} - {s}.m) / sqrt(pow({at} - {s}.m, 2) + pow({s}.sigma, 2))))"
+    lo, hi = f"{s}.k_min", f"{s}.k_max"
+    return f"(CASE WHEN {k} < {lo} THEN {svi(lo)} + least({slope(lo)}, 0) * ({k} - {lo}) WHEN {k} > {hi} THEN {svi(hi)} + greatest({slope(hi)}, 0) * ({k} - {hi}) ELSE {svi(k)} END)"
+
+
+def variance_sql(k: str) -> str:
+    """Total variance at k between slices l and h of a row with weight x and tenor tau."""
+    return f"greatest(CASE WHEN l.\"T\" = h.\"T\" THEN {wing_sql('l', k)} * tau / l.\"T\" ELSE (1 - x) * {wing_sql('l', k)} + x * {wing_sql('h', k)} END, 1e-10)"
+
+
+def brackets_sql(tenors: list[str]) -> str:
+    """CTE br(ticker, as_of, tau, l, h, x, inside): the slices around each tenor as structs. Needs slices."""
+    return f"""
+tn AS (SELECT unnest([{', '.join(tenors)}])::DOUBLE AS tau),
+ends AS (SELECT ticker, as_of, tau, min("T") AS t0, max("T") AS t1, max("T") FILTER ("T" < tau) AS below, min("T") FILTER ("T" >= tau) AS above FROM slices, tn GROUP BY 1, 2, 3),
+near AS (SELECT *, CASE WHEN tau <= t0 THEN t0 WHEN tau >= t1 THEN t1 ELSE below END AS tl, CASE WHEN tau <= t0 THEN t0 WHEN tau >= t1 THEN t1 ELSE above END AS th, tau >= t0 - 1e-12 AND tau <= t1 + 1e-12 AS inside FROM ends),
+br AS (SELECT n.ticker, n.as_of, tau, inside, l, h, CASE WHEN tl < th THEN (tau - tl) / (th - tl) ELSE 0 END AS x,
+       (tl <> th OR abs(tau - tl) <= 1e-8 + 1e-5 * abs(tl)) AS in_t, greatest(l.k_min, h.k_min) AS qlo, least(l.k_max, h.k_max) AS qhi
+       FROM near n JOIN slices l ON l.ticker = n.ticker AND l.as_of = n.as_of AND l."T" = tl JOIN slices h ON h.ticker = n.ticker AND h.as_of = n.as_of AND h."T" = th)"""
+
+
+def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ticker, snapshot, event: at the start of each quarter with a release, the releases of the next 190 days, up to two days off."""
+    s = releases(spark, sf_dir).select("ticker", "announced", F.date_trunc("quarter", "announced").cast("date").alias("q"))
+    starts = s.select("ticker", F.col("q").alias("snapshot")).distinct()
+    near = s.join(starts, "ticker").where((F.col("announced") >= F.col("snapshot")) & (F.col("announced") < F.date_add("snapshot", 190)))
+    return near.select("ticker", "snapshot", F.expr("date_add(announced, cast((dayofyear(announced) + month(snapshot)) % 5 - 2 as int))").alias("event"))
