@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, keep_id string"
 ROWS = [
@@ -38,10 +39,11 @@ def test_exact_dedup(docs, empty):
 
 
 @pytest.mark.parametrize("first_stays", [True, False])
-@pytest.mark.parametrize("class_runs", [30_000, 2])
-def test_suffix_dedup(spark, first_stays, class_runs):
-    from volframe.llm.suffix_dedup import suffix_dedup
+@pytest.mark.parametrize("class_runs", [4_000, 2])
+def test_suffix_dedup(spark, monkeypatch, first_stays, class_runs):
+    from volframe.llm import suffix_dedup as module
 
+    monkeypatch.setattr(module, "SLICE_WINDOWS", 50)
     rng, length = random.Random(5), 80
     phrases = [" ".join("".join(rng.choice("abcé") for _ in range(rng.randint(1, 8))) for _ in range(rng.randint(3, 25))) for _ in range(15)]
     rows = [(i, "".join(rng.choice(phrases) if rng.random() < 0.5 else "".join(rng.choice("xyz") for _ in range(20)) for _ in range(rng.randint(0, 10)))) for i in range(40)]
@@ -60,16 +62,32 @@ def test_suffix_dedup(spark, first_stays, class_runs):
             if len(p) > 1 and (not first_stays or min(p) != (i, a)):
                 gone[a : a + length] = True
         want[i] = bytes(np.frombuffer(b, np.uint8)[~gone])
-    out = suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), length=length, first_stays=first_stays, class_runs=class_runs)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for c in ("anchor", "k1", "spans", "whole"):
+        frame = frame.withColumn(c, F.lit("clash"))
+    out = module.suffix_dedup(frame, length=length, first_stays=first_stays, class_runs=class_runs)
     assert {r.doc_id: bytes(r.kept) for r in out.collect()} == want
 
 
+def test_suffix_dedup_edge_rows(spark, docs, empty):
+    from volframe.llm.suffix_dedup import suffix_dedup
+
+    assert suffix_dedup(empty).count() == 0
+    got = {}
+    for r in suffix_dedup(docs, first_stays=False).collect():
+        got.setdefault(r.doc_id, []).append((r.n_bytes, r.n_removed))
+    assert got[3] == [(0, 0)] and got[4] == [(0, 0)] and got[7] == [(30000, 30000)] and len(got[2]) == 2 and sum(map(len, got.values())) == len(ROWS)
+    twice = spark.createDataFrame([(1, "abc " * 150), (1, "abc " * 150), (None, "xyz" * 200)], "doc_id long, text string")
+    kept = sorted((r.doc_id or 0, r.n_bytes - r.n_removed) for r in suffix_dedup(twice, first_stays=True).collect())
+    assert kept == [(0, 3), (1, 4), (1, 4)]  # the window at 3 (4) is a copy of the first; its bytes go
+
+
 def test_lpf():
     from volframe.llm.suffix_dedup import lpf
 
     s = b"abaababaab"
     want = [max((next((k for k in range(len(s) - i + 1) if i + k == len(s) or s[j + k] != s[i + k]), 0) for j in range(i)), default=0) for i in range(len(s))]
-    assert lpf(s) == want
+    assert lpf(s) == want and lpf(b"") == [] and lpf(b"a") == [0]
 
 
 @pytest.mark.parametrize("block", [4096, 3])

@@ -7,54 +7,66 @@ at equal places. A run is the windows of a text with the same anchor.
 1. A run whose anchor is found nowhere else has no copies. This drops nearly all of a corpus.
 2. Runs that are equal as a whole are copies window by window.
 3. What is left, runs that share an anchor yet differ, is compared window by window: one run of each kind is sent, with
-   its bytes, to the others of its anchor. There the window starts are sorted by a 128-bit hash of their `length` bytes,
-   and equal neighbours are the copies: a start has an earlier match of the full length exactly if an equal window comes
-   before it, so neither suffix order nor previous and next smaller positions are needed. An anchor with more than CLASS_RUNS different runs is handled as rows of (window hash, run) instead,
-   counted by groupBy, so no group is ever gathered beyond that size.
+   its bytes, to the others of its anchor. There the window starts are put in suffix order, by their bytes to the depth
+   asked for. Previous and next smaller positions in that order give each start its longest previous factor; a start whose
+   factor has the full length is a later copy. Where all copies go, the neighbours on both sides count. An anchor with
+   more than CLASS_RUNS different runs is handled as rows of (window hash, run) instead, counted by groupBy, so no group
+   is ever gathered beyond that size.
 
-The matches of step 1 and 2 rest on 128 bits of hashes. lpf() below, the longest previous factors of one
-text in lexicographic order, takes no part in them; the tests alone call it.
+The matches of steps 1 and 2, and those of very large anchors, rest on 128 bits of hashes; step 3 compares bytes.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from volframe.llm.common import Rolling, mix, stage, text_of
+from volframe.llm.common import Rolling, mix, release_memory, stage, text_of
 
 ANCHOR = 64
-CLASS_RUNS = 30_000
+CLASS_RUNS = 4_000
+SLICE_WINDOWS = 60_000
+SLICE_RUNS = 100_000
+#: A key with more than one in so many rows is joined by broadcast; there can't be more such keys than this.
+HOT_KEYS = 1_000
 _BLOCK = 1 << 19
 _PLACE = np.uint64((1 << 20) - 1)
 _SPANS = "k1 long, k2 long, a int, n int"
 
 
+def longest_previous_factors(order: Sequence[int], common: Sequence[int]) -> np.ndarray:
+    """For each position the length of its longest match with an earlier one.
+
+    order: positions 0..n-1 in suffix order; common[i]: common bytes of order[i - 1] and order[i]. Going through the order,
+    a position's match with the last smaller one before it (and, backwards, after it) is the least of `common` between.
+    """
+    out = np.zeros(len(order), np.int64)
+    for seq, between in ((order, common), (order[::-1], [0, *common[:0:-1]][: len(order)])):
+        stack: list[tuple[int, int]] = []  # (position, common bytes with the entry below)
+        for i, n in zip(seq, between, strict=True):
+            while stack and stack[-1][0] > i:
+                n = min(n, stack.pop()[1])
+            if stack:
+                out[i] = max(out[i], n)
+            stack.append((i, n if stack else 0))
+    return out
+
+
 def lpf(data: bytes) -> list[int]:
-    """Longest previous factor of each position, from previous and next smaller positions in suffix order. For short texts."""
-    n = len(data)
-    order = sorted(range(n), key=lambda i: data[i:])
-    before, after = [-1] * n, [-1] * n
-    for seq, out in ((order, before), (order[::-1], after)):
-        stack: list[int] = []
-        for i in seq:
-            while stack and stack[-1] > i:
-                stack.pop()
-            out[i] = stack[-1] if stack else -1
-            stack.append(i)
-
-    def common(i: int, j: int) -> int:
+    """Longest previous factors of all positions of a short text."""
+    order = sorted(range(len(data)), key=lambda i: data[i:])
+    common = [0]
+    for i, j in zip(order, order[1:], strict=False):
         k = 0
-        while j >= 0 and i + k < n and data[i + k] == data[j + k]:
+        while max(i, j) + k < len(data) and data[i + k] == data[j + k]:
             k += 1
-        return k
-
-    return [max(common(i, before[i]), common(i, after[i])) for i in range(n)]
+        common.append(k)
+    return longest_previous_factors(order, common[: len(order)]).tolist()
 
 
 def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -91,16 +103,26 @@ def _bytes(text: str) -> np.ndarray:
 def _all_runs(length: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         roll = Rolling(1)
+
+        def rows(found: list) -> pd.DataFrame:
+            k1, k2, parts = zip(*found, strict=True)
+            anchor, whole, a, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+            sizes = [len(p[0]) for p in parts]
+            return pd.DataFrame({"anchor": anchor, "whole": whole, "k1": np.repeat(np.array(k1, np.int64), sizes), "k2": np.repeat(np.array(k2, np.int64), sizes), "a": a.astype(np.int32), "n": n.astype(np.int32)})
+
         for pdf in batches:
-            found, sizes = [], []
-            for text in pdf.text:
+            found, held = [], 0
+            for k1, k2, text in zip(pdf.k1, pdf.k2, pdf.text, strict=True):
                 data = _bytes(text)
                 if len(data) >= length:
-                    found.append(runs_of(data, length, roll))
-                sizes.append(len(found[-1][0]) if len(data) >= length else 0)
+                    found.append((k1, k2, runs_of(data, length, roll)))
+                    held += len(found[-1][2][0])
+                if held >= SLICE_RUNS:
+                    yield rows(found)
+                    found, held = [], 0
             if found:
-                anchor, whole, a, n = (np.concatenate(x) for x in zip(*found, strict=True))
-                yield pd.DataFrame({"anchor": anchor, "whole": whole, "k1": np.repeat(pdf.k1.to_numpy(), sizes), "k2": np.repeat(pdf.k2.to_numpy(), sizes), "a": a.astype(np.int32), "n": n.astype(np.int32)})
+                yield rows(found)
+        release_memory()
 
     return run
 
@@ -109,12 +131,17 @@ def _cut(length: int):
     """Bytes of the wanted runs of each text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["anchor", "whole", "copies", "size", "k1", "k2", "a", "n", "piece"]
         for pdf in batches:
             out = []
             for k1, k2, text, wanted in zip(pdf.k1, pdf.k2, pdf.text, pdf.wanted, strict=True):
                 data = text.encode("utf-8", "surrogatepass")
                 out += [(w["anchor"], w["whole"], w["copies"], w["size"], k1, k2, w["a"], w["n"], data[w["a"] : w["a"] + w["n"] - 1 + length]) for w in wanted]
-            yield pd.DataFrame(out, columns=["anchor", "whole", "copies", "size", "k1", "k2", "a", "n", "piece"])
+                if len(out) >= 10_000:
+                    yield pd.DataFrame(out, columns=columns)
+                    out = []
+            yield pd.DataFrame(out, columns=columns)
+        release_memory()
 
     return run
 
@@ -141,31 +168,43 @@ def _stretches(pdf: pd.DataFrame, row: np.ndarray, i: np.ndarray) -> pd.DataFram
 
 def matched(pdf: pd.DataFrame, length: int, first_stays: bool, rolls: tuple[Rolling, Rolling]) -> pd.DataFrame:
     """Windows of these runs that match another one (an earlier one, if the first stays)."""
+    pdf = pdf.drop_duplicates(["k1", "k2", "a"])  # rows that repeat id and text
     pdf = pdf.sort_values(["k1", "k2", "a"], kind="stable", ignore_index=True)  # text order, which gives positions
-    row, i, h1, h2 = _windows(pdf, length, rolls)
-    order = np.lexsort((h2, h1))  # stable: positions rise among equal windows, so the previous smaller one is the neighbour
-    same = (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])
-    hit = np.zeros(len(row), bool)
-    hit[order[1:][same]] = True
-    if not first_stays:
-        hit[order[:-1][same]] = True
-    alone = pdf.copies.to_numpy() == 1
-    hit &= alone[row] | first_stays
-    hit = np.flatnonzero(hit)
-    return _stretches(pdf, row[hit], i[hit])
+    row, i, h1, _ = _windows(pdf, length, rolls)
+    # a window whose hash is alone has no equal; the others are put in the order of their bytes
+    ranked = np.argsort(h1, kind="stable")
+    twin = np.concatenate([[False], h1[ranked][1:] == h1[ranked][:-1], [False]])
+    some = np.sort(ranked[twin[1:] | twin[:-1]])
+    bytes_of = [pdf.piece[r][k : k + length] for r, k in zip(row[some].tolist(), i[some].tolist(), strict=True)]
+    order = sorted(range(len(some)), key=bytes_of.__getitem__)
+    common = [0, *(length if bytes_of[x] == bytes_of[y] else 0 for x, y in zip(order, order[1:], strict=False))][: len(order)]
+    if first_stays:
+        hit = longest_previous_factors(order, common) >= length
+    else:
+        near, hit = np.array([*common, 0]) >= length, np.zeros(len(some), bool)
+        hit[np.array(order, int)] = near[:-1] | near[1:]
+        hit &= (pdf.copies.to_numpy() == 1)[row[some]]
+    return _stretches(pdf, row[some[hit]], i[some[hit]])
 
 
 def _by_anchor(length: int, first_stays: bool):
+    """matched() over whole anchors, which come in order, of about SLICE_WINDOWS windows at a time."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rolls, rest = (Rolling(2), Rolling(3)), None
         for pdf in batches:
             pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
-            last = (pdf.anchor == pdf.anchor.iloc[-1]).to_numpy()
-            rest = pdf[last]
-            if not last.all():
-                yield matched(pdf[~last], length, first_stays, rolls)
+            anchor, windows = pdf.anchor.to_numpy(), pdf.n.to_numpy().cumsum()
+            ends = np.flatnonzero(anchor[1:] != anchor[:-1]) + 1
+            at = 0
+            for end in ends:
+                if windows[end - 1] - (windows[at - 1] if at else 0) >= SLICE_WINDOWS or end == ends[-1]:
+                    yield matched(pdf.iloc[at:end], length, first_stays, rolls)
+                    at = end
+            rest = pdf.iloc[at:]
         if rest is not None:
             yield matched(rest, length, first_stays, rolls)
+        release_memory()
 
     return run
 
@@ -184,8 +223,9 @@ def _window_rows(length: int):
 
 def _remove(length: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["doc_id", "n_bytes", "n_removed", "removed", "kept"]
         for pdf in batches:
-            out = []
+            out, held = [], 0
             for doc_id, text, spans in zip(pdf.doc_id, pdf.text, pdf.spans, strict=True):
                 data, merged = text.encode("utf-8", "surrogatepass"), []
                 for a, e in sorted((x["a"], x["a"] + x["n"] - 1 + length) for x in (spans if spans is not None else ())):
@@ -199,11 +239,26 @@ def _remove(length: int):
                     at = e
                 kept = b"".join([*kept, data[at:]])
                 out.append((doc_id, len(data), len(data) - len(kept), [{"start": a, "end": e} for a, e in merged], kept))
-            yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "removed", "kept"])
+                held += len(kept)
+                if held >= 1 << 23:
+                    yield pd.DataFrame(out, columns=columns)
+                    out, held = [], 0
+            yield pd.DataFrame(out, columns=columns)
+        release_memory()
 
     return run
 
 
+def _join_hot(rows: DataFrame, counts: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
+    """rows joined with counts (without the count), which says how often each key occurs among the `total` rows.
+
+    Keys with more than total / HOT_KEYS rows are fewer than HOT_KEYS: these are broadcast and their rows not shuffled.
+    """
+    hot = F.broadcast(counts.where(F.col(count) > max(total // HOT_KEYS, 1000)).drop(count))
+    rest = counts.where(F.col(count) <= max(total // HOT_KEYS, 1000)).drop(count)
+    return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(rest, keys))
+
+
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, first_stays: bool = True, class_runs: int = CLASS_RUNS) -> DataFrame:
     """One row per row of docs: doc_id, n_bytes, n_removed, removed (start and end of each removed run), kept (bytes).
 
@@ -219,10 +274,11 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     # steps 1 and 2
     anchors = runs.groupBy("anchor").agg(F.count("*").alias("c"), F.min("whole").alias("w0"), F.max("whole").alias("w1")).where("c > 1")
-    shared = stage(runs.join(anchors.select("anchor", (F.col("w0") != F.col("w1")).alias("differ")), "anchor"), "op2-shared")
+    anchors = stage(anchors.select("anchor", "c", (F.col("w0") != F.col("w1")).alias("differ")), "op2-anchors")
+    shared = stage(_join_hot(runs, anchors, ["anchor"], "c", runs.count()), "op2-shared")
     sample = F.min(F.struct("k1", "k2", "a", "n")).alias("s")
     kinds = stage(shared.groupBy("anchor", "whole").agg(F.count("*").alias("copies"), F.first("differ").alias("differ"), sample), "op2-kinds")
-    whole = shared.join(kinds.where("copies > 1").select("anchor", "whole", "s"), ["anchor", "whole"])
+    whole = _join_hot(shared.select("anchor", "whole", "k1", "k2", "a", "n"), kinds.where("copies > 1").select("anchor", "whole", "copies", "s"), ["anchor", "whole"], "copies", shared.count())
     if first_stays:
         whole = whole.where("struct(k1, k2, a) <> struct(s.k1, s.k2, s.a)")
     spans = whole.select("k1", "k2", "a", "n")
