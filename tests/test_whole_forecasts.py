@@ -15,7 +15,7 @@ def test_refits_pool_all_closed_rows(spark, h):
     rows = [(t, day + datetime.timedelta(days=i), float(np.exp(rng.normal(-3, 0.5))), float(np.exp(rng.normal(-2, 0.3))), float(np.exp(rng.normal(-3, 0.4)))) for t, n in (("A", 1500), ("B", 400), ("C", 100)) for i in range(1500 - n, 1500)]
     rows[700] = (*rows[700][:3], 0.0, rows[700][4])
     frame = spark.createDataFrame(rows, "ticker string, date date, a double, b double, y double")
-    got = {(r.ticker, r.date): r for r in walk_forward(frame, "y", h, ["a", "b"], least=250).collect()}
+    got = {(r.ticker, r.date): r for r in walk_forward(frame, "y", h, ["a", "b"], alpha=1.0, least=250).collect()}
     of = {t: [r for r in rows if r[0] == t] for t in "ABC"}
     want = {}
     for m in sorted({r[1].replace(day=1) for r in rows}):

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from volframe.functions.pricing import qlike
+from volframe.functions.pricing import ncdf, qlike
 
 
 def scores(rows: DataFrame, actual: str, forecast: str, by=()) -> DataFrame:
@@ -18,6 +20,11 @@ def scores(rows: DataFrame, actual: str, forecast: str, by=()) -> DataFrame:
     return ok.groupBy(*by).agg(F.count("*").alias("n"), F.avg(qlike(a, f)).alias("qlike"), F.sqrt(F.avg((a - f) * (a - f))).alias("rmse"), F.avg(F.abs(a - f)).alias("mae"), F.avg(f - a).alias("bias"), r2.alias("log_r2"))
 
 
+def two_sided(z: Column) -> Column:
+    """p-value of a standard normal statistic, for either sign."""
+    return 2 * ncdf(-F.abs(z))
+
+
 def long_run_variance(rows: DataFrame, value: str, order: str, by: list[str], lags: int) -> DataFrame:
     """Per group: n, mean and the Newey-West variance of the mean with Bartlett weights up to `lags`."""
     w = Window.partitionBy(*by).orderBy(order)
@@ -34,7 +41,7 @@ def diebold_mariano(rows: DataFrame, base: str, model: str, order: str, by: list
     """Statistic of the mean loss difference; null with fewer than ten rows."""
     d = rows.withColumn("_diff", F.col(base) - F.col(model))
     v = long_run_variance(d, "_diff", order, by, lag)
-    return v.select(*by, "n", F.when((F.col("n") >= 10) & (F.col("variance") > 0), F.col("mean") / F.sqrt("variance")).alias("dm"), F.col("mean").alias("mean_gain"))
+    return v.select(*by, "n", F.when((F.col("n") >= 10) & (F.col("variance") > 0), F.col("mean") / F.sqrt("variance")).alias("dm"), F.col("mean").alias("mean_gain")).withColumn("p", two_sided(F.col("dm")))
 
 
 def predictive_regression(rows: DataFrame, x: str, y: str, order: str, by: list[str], lag: int) -> DataFrame:
@@ -45,7 +52,7 @@ def predictive_regression(rows: DataFrame, x: str, y: str, order: str, by: list[
     d = d.withColumn("_b", F.regr_slope(F.col(y), F.col("_x")).over(all_)).withColumn("_e", F.col(y) - F.avg(y).over(all_) - F.col("_b") * F.col("_x"))
     v = long_run_variance(d.withColumn("_s", F.col("_x") * F.col("_e")), "_s", order, by, lag).select(*by, "variance")
     fit = d.groupBy(*by).agg(F.count("*").alias("n"), F.max("_b").alias("slope"), F.regr_r2(F.col(y), F.col("_x")).alias("r2"))
-    return fit.join(v, by).select(*by, "n", "slope", F.when(F.col("variance") > 0, F.col("slope") / F.sqrt("variance")).alias("t"), "r2")
+    return fit.join(v, by).select(*by, "n", "slope", F.when(F.col("variance") > 0, F.col("slope") / F.sqrt("variance")).alias("t"), "r2").withColumn("p", two_sided(F.col("t")))
 
 
 def regime(vix: Column) -> Column:
@@ -67,18 +74,24 @@ def _ridge(sums: dict[str, float], k: int, alpha: float) -> list[float]:
     return [float(y / n - slopes @ mu), *map(float, slopes)]
 
 
-def walk_forward(rows: DataFrame, target: str, h: int, terms: list[str], alpha: float = 1.0, least: int = 250) -> DataFrame:
+def log_of(c: str) -> Column:
+    """Logarithm of a column, null where it isn't a positive number."""
+    return F.when((F.col(c) > 0) & (F.col(c) < float("inf")), F.log(c))
+
+
+def walk_forward(rows: DataFrame, target: str, h: int, terms: Sequence[str] | Mapping[str, Column], alpha: float = 0.0, least: int = 250, keep: Sequence[str] = ()) -> DataFrame:
     """Monthly refits, pooled over tickers, on all rows whose target closed before the month began; forecasts of its rows.
 
-    The target of a row closes with the ticker's h-th next row. Coefficients come from sums by the month from which on a
+    terms are columns, whose logarithms are regressed on, or expressions by name, which are taken as they are; the log of
+    the target is fitted, with a ridge of alpha on standardised terms. Rows with a null term have no forecast. The target of a row closes with the ticker's h-th next row. Coefficients come from sums by the month from which on a
     row is known, added up over the months, of which there are few; residuals then meet each later month's coefficients
     for the smearing factor and the exact 10 and 90 % quantiles. A month with fewer than `least` usable rows in the pool
-    has no forecast. Columns: ticker, date, month, horizon, forecast, lo, hi, n_train.
+    has no forecast. Columns: ticker, date, month, horizon, forecast, lo, hi, n_train and those of keep.
     """
+    terms = terms if isinstance(terms, Mapping) else {c: log_of(c) for c in terms}
     spark, k = rows.sparkSession, len(terms)
-    log = lambda c: F.when((F.col(c) > 0) & (F.col(c) < float("inf")), F.log(c))
     closed = F.lead("date", h).over(Window.partitionBy("ticker").orderBy("date"))
-    f = rows.withColumn("_closed", closed).select("ticker", "date", F.trunc("date", "month").alias("month"), F.add_months(F.trunc("_closed", "month"), 1).alias("since"), *[log(c).alias(f"x{i}") for i, c in enumerate(terms)], log(target).alias("y"))
+    f = rows.withColumn("_closed", closed).select("ticker", "date", F.trunc("date", "month").alias("month"), F.add_months(F.trunc("_closed", "month"), 1).alias("since"), *[c.alias(f"x{i}") for i, c in enumerate(terms.values())], log_of(target).alias("y"), *keep)
     xs = [f"x{i}" for i in range(k)]
     f = f.where(" and ".join(f"{x} is not null" for x in xs))
     known = f.where("y is not null and since is not null")
@@ -100,4 +113,4 @@ def walk_forward(rows: DataFrame, target: str, h: int, terms: list[str], alpha:
     spread = known.drop("month").join(F.broadcast(models), F.col("since") <= F.col("month"))
     spread = spread.groupBy("month").agg(F.avg(F.exp(left)).alias("smear"), F.percentile(left, F.array(F.lit(0.1), F.lit(0.9))).alias("q"))
     out = f.join(F.broadcast(models), "month").join(spread, "month")
-    return out.select("ticker", "date", "month", F.lit(h).alias("horizon"), (F.exp(fitted) * F.col("smear")).alias("forecast"), F.exp(fitted + F.col("q")[0]).alias("lo"), F.exp(fitted + F.col("q")[1]).alias("hi"), "n_train")
+    return out.select("ticker", "date", "month", F.lit(h).alias("horizon"), (F.exp(fitted) * F.col("smear")).alias("forecast"), F.exp(fitted + F.col("q")[0]).alias("lo"), F.exp(fitted + F.col("q")[1]).alias("hi"), "n_train", *keep)

@@ -382,25 +382,9 @@ def grid_qc(spark, d):
     return rounded(S.grid_verdict(S.total_variance(slices, K_GRID, T_GRID)), "missing", "lo", "hi", digits=4)
 
 
-@query()
-def har_forecast(spark, d):
-    h = R.har_dataset(X.bars(spark, d))
-    both = [E.walk_forward(h, f"y_{n}", n, ["rv_d", "rv_w", "rv_m"]) for n in (5, 21)]
-    return rounded(both[0].unionByName(both[1]), "forecast", "lo", "hi")
-
-
-@query()
-def track_record(spark, d):
-    h = R.har_dataset(X.bars(spark, d))
-    both = [E.walk_forward(h, f"y_{n}", n, ["rv_d", "rv_w", "rv_m"]).join(h.select("ticker", "date", F.col(f"y_{n}").alias("y")), ["ticker", "date"]).where("y > 0") for n in (5, 21)]
-    f = both[0].unionByName(both[1])
-    out = f.groupBy("ticker", "horizon").agg(F.count("*").alias("n"), F.avg(P.qlike(F.col("y"), F.col("forecast"))).alias("qlike"), F.avg(F.col("y").between(F.col("lo"), F.col("hi")).cast("double")).alias("covered"))
-    return rounded(out, "qlike", "covered")
-
-
 def _more() -> None:
     """The modules that register further queries with query()."""
-    from volframe.plans import features, surfaces  # noqa: F401
+    from volframe.plans import features, forecasts, surfaces  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
