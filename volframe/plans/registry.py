@@ -353,19 +353,38 @@ def parity_forward(spark, d):
     return S.parity_forward(X.chain(spark, d)).select("ticker", "as_of", r("T").alias("T"), r("forward", 5).alias("forward"), "source")
 
 
-@query(_CHAIN_SQL + "SELECT ticker, as_of, count(*) AS rows FROM ch WHERE open_interest >= 10 GROUP BY 1, 2")
-def chain_quality_filters(spark, d):
-    return S.quality_filter(X.chain(spark, d)).groupBy("ticker", "as_of").agg(F.count("*").alias("rows"))
+_OTM_SQL = _CHAIN_SQL + f""", oz AS (SELECT *, (iv * iv * "T" / 2 - k) / (iv * sqrt("T")) AS z, k / (iv * sqrt("T")) - iv * sqrt("T") / 2 AS y FROM ch WHERE (option_type = 'call') = (strike >= forward)),
+otm AS (SELECT * FROM (SELECT *, CASE WHEN option_type = 'call' THEN {X.ncdf_sql('z')} ELSE {X.ncdf_sql('y')} END AS delta FROM oz) WHERE delta >= 0.01),
+qr AS (SELECT ticker, as_of, "T", count(*) AS n, min(k) AS k_min, max(k) AS k_max FROM otm GROUP BY 1, 2, 3)"""
 
 
-@query(_CHAIN_SQL + "SELECT ticker, as_of, count(*) AS rows, count(DISTINCT \"T\") AS expiries, 0.0::DOUBLE AS null_share, 0.0::DOUBLE AS negative_share, 0.0::DOUBLE AS crossed_share, 0.04::DOUBLE AS spread, 0 AS duplicates, count(*) < 200 AS thin, false AS few_expiries FROM ch GROUP BY 1, 2")
-def quality_report(spark, d):
-    return rounded(Q.chain_quality(X.chain(spark, d)), "spread")
+@query(_OTM_SQL + """ SELECT ticker, as_of, round("T", 6) AS "T", 'parity' AS source, n, round(k_min, 6) AS k_min, round(k_max, 6) AS k_max, true AS close FROM qr WHERE n >= 6""")
+def svi_fit_recovery(spark, d):
+    """Fits of the chain use all quotes (there are no outliers), and are within 0.3 points of the known smile."""
+    f = S.fit_surfaces(S.otm_quotes(X.chain(spark, d)))
+    return f.select("ticker", "as_of", r("T").alias("T"), "source", F.col("n").cast("long").alias("n"), r("k_min").alias("k_min"), r("k_max").alias("k_max"), (F.col("rmse") < 0.003).alias("close"))
 
 
-@query()
-def svi_fit_recovery(spark, d):
-    return rounded(S.fit_surfaces(S.otm_quotes(X.chain(spark, d))).select("ticker", "as_of", "T", "forward", "source", "n", "rmse"), "forward", "rmse", digits=4)
+def _true_variance_sql(t: str) -> str:
+    return f"({t} * pow(0.20 + 0.01 * {t} - 0.025 * k / sqrt(greatest({t}, 1.0 / 52)) + 0.06 * k * k, 2))"
+
+
+@query(_OTM_SQL + f""", gk AS (SELECT unnest(list_transform(range(0, 25), lambda i: -0.4 + 0.025 * i))::DOUBLE AS k), gt AS (SELECT unnest([7.0 / 365, 14.0 / 365, 30.0 / 365, 60.0 / 365, 91.0 / 365, 0.5, 1.0, 2.0])::DOUBLE AS tau),
+ed AS (SELECT ticker, as_of, tau, max("T") FILTER ("T" < tau) AS lo, min("T") FILTER ("T" >= tau) AS hi, min("T") AS t0 FROM qr, gt GROUP BY 1, 2, 3),
+ob AS (SELECT ed.*, CASE WHEN tau <= t0 THEN t0 ELSE lo END AS l, hi AS h FROM ed WHERE tau > t0 OR abs(tau - t0) <= 1e-8 + 1e-5 * t0),
+ce AS (SELECT ob.ticker, ob.as_of, k FROM ob JOIN qr a ON a.ticker = ob.ticker AND a.as_of = ob.as_of AND a."T" = l JOIN qr b ON b.ticker = ob.ticker AND b.as_of = ob.as_of AND b."T" = h, gk WHERE k >= greatest(a.k_min, b.k_min) AND k <= least(a.k_max, b.k_max))
+SELECT ticker, as_of, count(*) AS observed, count(*) AS close FROM ce GROUP BY 1, 2""")
+def grid_recovery(spark, d):
+    """Observed cells of the fitted grid, and how many of them are within 0.3 points of the known surface."""
+    g = S.total_variance(S.fit_surfaces(S.otm_quotes(X.chain(spark, d))), K_GRID, T_GRID).where("observed")
+    k, t = F.col("k"), F.col("tenor")
+    true = lambda at: at * (0.20 + 0.01 * at - 0.025 * k / F.sqrt(F.greatest(at, F.lit(1 / 52))) + 0.06 * k * k) ** 2
+    tenors = F.array(*map(F.lit, X.TENORS))
+    lo, hi = F.array_max(F.filter(tenors, lambda x: x < t)), F.array_min(F.filter(tenors, lambda x: x >= t))
+    lo = F.coalesce(lo, hi)
+    w = F.when(lo == hi, true(hi)).otherwise(true(lo) + (true(hi) - true(lo)) * (t - lo) / (hi - lo))
+    near = F.abs(F.col("iv") - F.sqrt(w / t)) <= 0.003
+    return g.groupBy("ticker", "as_of").agg(F.count("*").alias("observed"), F.count_if(near).alias("close"))
 
 
 @query()
@@ -384,7 +403,7 @@ def grid_qc(spark, d):
 
 def _more() -> None:
     """The modules that register further queries with query()."""
-    from volframe.plans import features, forecasts, surfaces  # noqa: F401
+    from volframe.plans import features, forecasts, health, serving, surfaces  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

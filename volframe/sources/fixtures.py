@@ -180,3 +180,28 @@ def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     starts = s.select("ticker", F.col("q").alias("snapshot")).distinct()
     near = s.join(starts, "ticker").where((F.col("announced") >= F.col("snapshot")) & (F.col("announced") < F.date_add("snapshot", 190)))
     return near.select("ticker", "snapshot", F.expr("date_add(announced, cast((dayofyear(announced) + month(snapshot)) % 5 - 2 as int))").alias("event"))
+
+
+def flawed_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain with rows dropped, doubled, crossed, one-sided, negative and wide, by an integer key that SQL has, too."""
+    w = Window.partitionBy("ticker", F.date_trunc("month", "date")).orderBy("date")
+    spots = bars(spark, sf_dir).withColumn("n", F.row_number().over(w)).where("n = 1").select("ticker", F.col("date").alias("as_of"), F.col("close").alias("spot"))
+    q = spots.select("*", F.posexplode(F.array(*map(F.lit, TENORS))).alias("j", "T")).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(STRIKES - 1)))).withColumn("c", F.explode(F.array(F.lit(0), F.lit(1))))
+    q = q.withColumn("key", F.col("i") + 22 * F.col("c") + 44 * F.col("j") + 220 * F.dayofyear("as_of")).where("key % 17 <> 0")
+    q = q.withColumn("copy", F.explode(F.expr("sequence(1, if(key % 13 = 0, 2, 1))")))
+    mid = 1.0 + F.col("i")
+    wide, crossed = F.col("key") % 7 == 0, F.col("key") % 11 == 0
+    bid = F.when(F.col("key") % 19 == 0, None).when(F.col("key") % 23 == 0, -mid).when(wide, 0.5 * mid).when(crossed, 1.02 * mid).otherwise(0.98 * mid)
+    ask = F.when(wide, 1.5 * mid).when(crossed, 0.98 * mid).otherwise(1.02 * mid)
+    return q.select(
+        "ticker", "as_of", "spot", "T", F.expr("date_add(as_of, cast(round(T * 365) as int))").alias("expiration"), (F.col("spot") * (0.7 + 0.025 * F.col("i"))).alias("strike"), F.when(F.col("c") == 0, "call").otherwise("put").alias("option_type"),
+        bid.alias("bid"), ask.alias("ask"), mid.alias("mid"), (F.col("key") % 40).alias("open_interest"),
+    )
+
+
+FLAWED_SQL = """
+ff AS (SELECT ticker, date AS as_of, close AS spot FROM (SELECT *, row_number() OVER (PARTITION BY ticker, date_trunc('month', date) ORDER BY date) AS n FROM bars) WHERE n = 1),
+fk AS (SELECT *, i + 22 * c + 44 * j + 220 * dayofyear(as_of) AS key, 1.0::DOUBLE + i AS mid FROM ff, (SELECT unnest([1.0::DOUBLE / 12, 0.25, 0.5, 1.0, 2.0]) AS tau, unnest([0, 1, 2, 3, 4]) AS j), (SELECT unnest(range(0, 22)) AS i), (SELECT unnest([0, 1]) AS c)),
+flawed AS (SELECT ticker, as_of, spot, tau, as_of + round(tau * 365)::INT AS expiration, spot * (0.7 + 0.025 * i) AS strike, CASE WHEN c = 0 THEN 'call' ELSE 'put' END AS option_type, mid, key % 40 AS open_interest,
+  CASE WHEN key % 19 = 0 THEN NULL WHEN key % 23 = 0 THEN -mid WHEN key % 7 = 0 THEN 0.5 * mid WHEN key % 11 = 0 THEN 1.02 * mid ELSE 0.98 * mid END AS bid, CASE WHEN key % 7 = 0 THEN 1.5 * mid WHEN key % 11 = 0 THEN 0.98 * mid ELSE 1.02 * mid END AS ask
+  FROM fk, (SELECT unnest([1, 2]) AS copy) WHERE key % 17 <> 0 AND (copy = 1 OR key % 13 = 0))"""
