@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from volframe.functions.pricing import ncdf, svi_extrapolated
 
 SHAPE = ("a", "b", "rho", "m", "sigma", "k_min", "k_max")
-#: Halvings of the bracket in which delta_strike looks: 7 / 2^48 is below 1e-13.
-HALVINGS = 48
+#: Halvings of the bracket in which delta_strike looks: 7 / 2^40 is below 1e-11.
+HALVINGS = 40
 
 
 def _let(x: Column, f) -> Column:
@@ -97,7 +97,7 @@ def delta_strike(b: Column, delta: float) -> Column:
         return _let((s["lo"] + s["hi"]) / 2, half)
 
     found = F.aggregate(F.sequence(F.lit(1), F.lit(HALVINGS)), F.struct(F.lit(-4.0).alias("lo"), F.lit(3.0).alias("hi")), halve)
-    return F.when((gap(F.lit(-4.0)) >= 0) & (gap(F.lit(3.0)) <= 0), (found["lo"] + found["hi"]) / 2)
+    return F.when((gap(F.lit(-4.0)) >= 0) & (gap(F.lit(3.0)) <= 0), _let(found, lambda s: (s["lo"] + s["hi"]) / 2))
 
 
 def variance_swaps(slices: DataFrame, name: str = "vs_w", keys=("ticker", "as_of", "T"), steps: int = 4000, low: float = -2.5, high: float = 1.5) -> DataFrame:

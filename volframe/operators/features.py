@@ -31,12 +31,14 @@ def surface_features(slices: DataFrame, keys=("ticker", "as_of"), spot: str | No
     surf = surf.withColumns({f"_b_{n}": E.bracket(F.col("slices"), F.lit(d / 365)) for n, d in TENORS_DAYS.items()})
     surf = surf.withColumns({f"_k_{d}_{n}": E.delta_strike(F.col(f"_b_{n}"), x) for n in SMILE_TENORS for d, x in DELTAS.items()})
 
-    def value(k: Column, name: str) -> Column:
-        b = F.col(f"_b_{name}")
-        return F.when(F.lit(True) if extrapolate else b["inside"] & E.is_observed(b, k), E.iv(b, k))
-
-    surf = surf.withColumns({f"atm_{n}": value(F.lit(0.0), n) for n in TENORS_DAYS})
-    surf = surf.withColumns({f"iv_{d}_{n}": value(F.col(f"_k_{d}_{n}"), n) for n in SMILE_TENORS for d in DELTAS} | {f"_{s}_{n}": value(F.lit(x), n) for n in SMILE_TENORS for s, x in (("up", STEP), ("dn", -STEP))})
+    def value(p: Column) -> Column:
+        return F.when(F.lit(True) if extrapolate else p["b"]["inside"] & E.is_observed(p["b"], p["k"]), E.iv(p["b"], p["k"]))
+
+    # all points in one array, so that the long expression of a volatility is there once
+    points = {f"atm_{n}": (n, F.lit(0.0)) for n in TENORS_DAYS} | {f"iv_{d}_{n}": (n, F.col(f"_k_{d}_{n}")) for n in SMILE_TENORS for d in DELTAS}
+    points |= {f"_{s}_{n}": (n, F.lit(x)) for n in SMILE_TENORS for s, x in (("up", STEP), ("dn", -STEP))}
+    surf = surf.withColumn("_v", F.transform(F.array(*[F.struct(F.col(f"_b_{n}").alias("b"), k.alias("k")) for n, k in points.values()]), value))
+    surf = surf.withColumns({name: F.get("_v", F.lit(i)) for i, name in enumerate(points)})
     c, out = F.col, {}
     for n in SMILE_TENORS:
         atm, up, dn = c(f"atm_{n}"), c(f"_up_{n}"), c(f"_dn_{n}")

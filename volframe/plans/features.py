@@ -83,3 +83,50 @@ def feature_dynamics(spark, d):
 
     f = A.add_dynamics(R.realized_features(X.bars(spark, d)).select("ticker", "date", *_DYN), X.sessions(spark, d), _DYN)
     return f.select("ticker", "date", *[r(f"{c}_{x}", 5 if x == "z63" else 6).alias(f"{c}_{x}") for c in _DYN for x in ("d1", "d5", "z63", "pct252")])
+
+
+_REST_SQL = _FEATURES_SQL.split(X.BARS_SQL + ",", 1)[1].strip()
+_TABLE_SQL = f"""{_EVENTS_SQL.replace('WITH ', 'WITH RECURSIVE ', 1)}, {X.SLICES_SQL.strip()}, {features_sql()}, {_REST_SQL}, {X.IDX_SQL.strip()}, {X.MACRO_SQL.strip()}, {_DAYS_SQL}, {_TERM_SQL}, {_NEXT_SQL}, {_HIST_SQL},
+iv_n AS (SELECT t.ticker, t.as_of, nxt, "T", expiration, w, q.pos - p.pos AS n FROM tm t JOIN nx USING (ticker, as_of) JOIN dn p ON p.day = t.as_of JOIN dn q ON q.day = t.expiration),
+iv_g AS (SELECT ticker, as_of, max(row("T", n, w)) FILTER (expiration < nxt AND n >= 1) AS pre, list(row("T", n, w) ORDER BY "T") FILTER (expiration >= nxt) AS post FROM iv_n GROUP BY 1, 2),
+iv_e AS (SELECT ticker, as_of, post[1][1] AS t1, CASE WHEN pre IS NOT NULL THEN post[1][3] - pre[3] / pre[2] * post[1][2] WHEN post[2][2] > post[1][2] THEN post[1][3] - (post[2][3] - post[1][3]) / (post[2][2] - post[1][2]) * post[1][2] END AS e2 FROM iv_g),
+mc AS (SELECT sf.*, macro.value AS macro FROM sf ASOF LEFT JOIN macro ON sf.as_of >= macro.published),
+ft AS (SELECT mc.ticker, mc.as_of AS date, atm_30d, vs_30d, rr25_30d, rv_cc_21d, rv_yz_21d, atm_30d - rv_cc_21d AS vrp_30d, vs_30d * vs_30d - rv_cc_21d * rv_cc_21d AS vrp_var_30d, vix AS mkt_vix, skew AS mkt_skew, macro, nxt AS earn_next_date, pn.pos - p0.pos AS earn_days_to, p0.pos - pl.pos AS earn_days_since,
+ sqrt(CASE WHEN t1 <= 0.30 AND e2 > 0 THEN e2 END) AS earn_implied_move, sqrt(hist_var) AS earn_hist_move
+ FROM mc LEFT JOIN f ON f.ticker = mc.ticker AND f.date = mc.as_of LEFT JOIN wide ON wide.date = mc.as_of LEFT JOIN nx ON nx.ticker = mc.ticker AND nx.as_of = mc.as_of LEFT JOIN iv_e ON iv_e.ticker = mc.ticker AND iv_e.as_of = mc.as_of LEFT JOIN hv ON hv.ticker = mc.ticker AND hv.date = mc.as_of
+ LEFT JOIN dn p0 ON p0.day = mc.as_of LEFT JOIN dn pn ON pn.day = nxt LEFT JOIN dn pl ON pl.day = lst)"""
+_TABLE = ["atm_30d", "vs_30d", "rr25_30d", "rv_cc_21d", "rv_yz_21d", "vrp_30d", "vrp_var_30d", "mkt_vix", "mkt_skew", "macro", "earn_implied_move", "earn_hist_move"]
+
+
+def _feature_table(spark, d):
+    slices, number, events = X.slices(spark, d), days(spark, d), _event_sessions(spark, d)
+    surface = A.surface_features(slices, spot="spot").withColumnRenamed("as_of", "date").persist()  # dynamics join it with itself
+    term = A.atm_term(slices).withColumnRenamed("as_of", "date")
+    earnings = A.earnings_features(term, events, number, closes=X.bars(spark, d).select("ticker", "date", "close"))
+    return A.feature_table(surface, X.bars(spark, d), X.index_wide(spark, d), X.macro(spark, d), earnings, X.sessions(spark, d), ["atm_30d"])
+
+
+@query(f"{_TABLE_SQL} SELECT ticker, date, {', '.join(f'round({c}, 6) AS {c}' for c in _TABLE)}, earn_next_date, earn_days_to, earn_days_since FROM ft")
+def feature_table(spark, d):
+    """Surface, realised, market, macro and earnings columns of each snapshot in one table."""
+    return _feature_table(spark, d).select("ticker", "date", *[r(c).alias(c) for c in _TABLE], "earn_next_date", "earn_days_to", "earn_days_since")
+
+
+_LABELS_SQL = """lb AS (SELECT ticker, date, CASE WHEN count(r1) OVER w = 21 THEN sqrt(252.0 / 21 * sum(r1 * r1) OVER w) END AS label_rv_21 FROM ret WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 1 FOLLOWING AND 21 FOLLOWING))"""
+
+
+@query(_FEATURES_SQL + f", {_LABELS_SQL} SELECT f.ticker, f.date, round(rv_cc_21d, 6) AS rv_cc_21d, round(rv_yz_21d, 6) AS rv_yz_21d, round(label_rv_21, 6) AS label_rv_21 FROM f JOIN lb USING (ticker, date) WHERE rv_cc_21d IS NOT NULL AND rv_yz_21d IS NOT NULL AND label_rv_21 IS NOT NULL")
+def training_frame(spark, d):
+    """Features with the label of the days that follow, on rows that have all of them."""
+    from volframe.operators import realized as R
+
+    b = X.bars(spark, d)
+    out = A.training_frame(R.realized_features(b), R.labels(b), ["rv_cc_21d", "rv_yz_21d"], "label_rv_21")
+    return rounded(out, "rv_cc_21d", "rv_yz_21d", "label_rv_21")
+
+
+@query(f"WITH {X.BARS_SQL}, {X.CAL_SQL}, s AS (SELECT bars.*, seq FROM bars JOIN cal ON session = date) SELECT a.ticker, a.date, round(b.close - a.close, 6) AS label_atm_5, round(c.close - a.close, 6) AS label_atm_21 FROM s a LEFT JOIN s b ON b.ticker = a.ticker AND b.seq = a.seq + 5 LEFT JOIN s c ON c.ticker = a.ticker AND c.seq = a.seq + 21")
+def forward_changes(spark, d):
+    """Change of a column over the sessions ahead."""
+    out = A.label_atm(X.bars(spark, d).select("ticker", "date", "close"), X.sessions(spark, d), "close")
+    return out.select("ticker", "date", r("label_atm_5").alias("label_atm_5"), r("label_atm_21").alias("label_atm_21"))

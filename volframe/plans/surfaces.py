@@ -55,10 +55,10 @@ def _strikes_sql(tenors: list[str]) -> str:
     """CTEs ds(ticker, as_of, tau, name, k): strikes of the deltas by halving."""
     return f"""{X.brackets_sql(tenors)},
 dl AS (SELECT unnest(['p10', 'p25', 'c25', 'c10']) AS name, unnest([0.9, 0.75, 0.25, 0.1])::DOUBLE AS target),
-hv AS (SELECT ticker, as_of, tau, l, h, x, name, target, -4.0::DOUBLE AS lo, 3.0::DOUBLE AS hi, -0.5::DOUBLE AS k, 0 AS n FROM br, dl
+hlv AS (SELECT ticker, as_of, tau, l, h, x, name, target, -4.0::DOUBLE AS lo, 3.0::DOUBLE AS hi, -0.5::DOUBLE AS k, 0 AS n FROM br, dl
        UNION ALL SELECT ticker, as_of, tau, l, h, x, name, target, CASE WHEN p > target THEN k ELSE lo END, CASE WHEN p > target THEN hi ELSE k END, (CASE WHEN p > target THEN k ELSE lo END + CASE WHEN p > target THEN hi ELSE k END) / 2, n + 1
-       FROM (SELECT *, {X.ncdf_sql('z')} AS p FROM (SELECT *, -k / rw + rw / 2 AS z FROM (SELECT *, sqrt({X.variance_sql('k')}) AS rw FROM hv WHERE n < 48)))),
-ds AS (SELECT hv.ticker, hv.as_of, hv.tau, name, hv.k, l, h, x FROM hv WHERE n = 48)"""
+       FROM (SELECT *, {X.ncdf_sql('z')} AS p FROM (SELECT *, -k / rw + rw / 2 AS z FROM (SELECT *, sqrt({X.variance_sql('k')}) AS rw FROM hlv WHERE n < 48)))),
+ds AS (SELECT hlv.ticker, hlv.as_of, hlv.tau, name, hlv.k, l, h, x FROM hlv WHERE n = 48)"""
 
 
 @query(f"""{_SLICES}, {_strikes_sql(['30.0/365', '91.0/365', '0.75', '3.0'])} SELECT ds.ticker, ds.as_of, round(ds.tau, 6) AS tenor, name AS delta, round(ds.k, 6) AS k, round(sqrt({X.variance_sql('k')} / tau), 6) AS iv FROM ds""")
