@@ -95,7 +95,8 @@ ft AS (SELECT mc.ticker, mc.as_of AS date, atm_30d, vs_30d, rr25_30d, rv_cc_21d,
  sqrt(CASE WHEN t1 <= 0.30 AND e2 > 0 THEN e2 END) AS earn_implied_move, sqrt(hist_var) AS earn_hist_move
  FROM mc LEFT JOIN f ON f.ticker = mc.ticker AND f.date = mc.as_of LEFT JOIN wide ON wide.date = mc.as_of LEFT JOIN nx ON nx.ticker = mc.ticker AND nx.as_of = mc.as_of LEFT JOIN iv_e ON iv_e.ticker = mc.ticker AND iv_e.as_of = mc.as_of LEFT JOIN hv ON hv.ticker = mc.ticker AND hv.date = mc.as_of
  LEFT JOIN dn p0 ON p0.day = mc.as_of LEFT JOIN dn pn ON pn.day = nxt LEFT JOIN dn pl ON pl.day = lst)"""
-_TABLE = ["atm_30d", "vs_30d", "rr25_30d", "rv_cc_21d", "rv_yz_21d", "vrp_30d", "vrp_var_30d", "mkt_vix", "mkt_skew", "macro", "earn_implied_move", "earn_hist_move"]
+_TABLE = ["atm_30d", "vs_30d", "rr25_30d", "rv_cc_21d", "rv_yz_21d", "vrp_30d", "vrp_var_30d", "earn_implied_move", "earn_hist_move"]
+_GIVEN = ["mkt_vix", "mkt_skew", "macro"]  # means of decimals: nine digits, as six would meet ties
 
 
 def _feature_table(spark, d):
@@ -106,10 +107,10 @@ def _feature_table(spark, d):
     return A.feature_table(surface, X.bars(spark, d), X.index_wide(spark, d), X.macro(spark, d), earnings, X.sessions(spark, d), ["atm_30d"])
 
 
-@query(f"{_TABLE_SQL} SELECT ticker, date, {', '.join(f'round({c}, 6) AS {c}' for c in _TABLE)}, earn_next_date, earn_days_to, earn_days_since FROM ft")
+@query(f"{_TABLE_SQL} SELECT ticker, date, {', '.join(f'round({c}, 6) AS {c}' for c in _TABLE)}, {', '.join(f'round({c}, 9) AS {c}' for c in _GIVEN)}, earn_next_date, earn_days_to, earn_days_since FROM ft")
 def feature_table(spark, d):
     """Surface, realised, market, macro and earnings columns of each snapshot in one table."""
-    return _feature_table(spark, d).select("ticker", "date", *[r(c).alias(c) for c in _TABLE], "earn_next_date", "earn_days_to", "earn_days_since")
+    return _feature_table(spark, d).select("ticker", "date", *[r(c).alias(c) for c in _TABLE], *[r(c, 9).alias(c) for c in _GIVEN], "earn_next_date", "earn_days_to", "earn_days_since")
 
 
 _LABELS_SQL = """lb AS (SELECT ticker, date, CASE WHEN count(r1) OVER w = 21 THEN sqrt(252.0 / 21 * sum(r1 * r1) OVER w) END AS label_rv_21 FROM ret WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 1 FOLLOWING AND 21 FOLLOWING))"""

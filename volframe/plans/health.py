@@ -104,7 +104,7 @@ def vendor_wide(spark, d):
 
 @query("""WITH c AS (SELECT o_orderdate::DATE AS date, avg(o_totalprice) AS close FROM orders WHERE o_orderkey % 3 > 0 GROUP BY 1)
 SELECT o_orderkey, o_orderdate::DATE AS as_of, o_orderdate::DATE + (o_orderkey % 50)::INT AS expiration, CASE o_orderkey % 3 WHEN 0 THEN 'call' ELSE 'put' END AS option_type, (o_custkey % 500)::DOUBLE AS strike, CASE WHEN o_orderkey % 5 > 0 THEN (o_orderkey % 10)::DOUBLE END AS bid, (o_orderkey % 10)::DOUBLE + 1 AS ask,
- CASE WHEN o_orderkey % 5 > 0 THEN (o_orderkey % 10)::DOUBLE + 0.5 END AS mid, round(close, 4) AS underlying_price FROM orders JOIN c ON c.date = o_orderdate::DATE WHERE o_orderkey % 50 > 0 AND o_orderkey % 3 < 2""")
+ CASE WHEN o_orderkey % 5 > 0 THEN (o_orderkey % 10)::DOUBLE + 0.5 END AS mid, round(close, 6) AS underlying_price FROM orders JOIN c ON c.date = o_orderdate::DATE WHERE o_orderkey % 50 > 0 AND o_orderkey % 3 < 2""")
 def vendor_records(spark, d):
     """A vendor's records of strings, with closes from elsewhere."""
     o, k = X.table(spark, d, "orders"), F.col("o_orderkey")
@@ -113,7 +113,7 @@ def vendor_records(spark, d):
     records = o.select(k, F.from_json(rec, V.RECORD).alias("r")).select("o_orderkey", "r.*")
     spots = o.where(k % 3 > 0).groupBy(F.to_date("o_orderdate").alias("date")).agg(F.avg("o_totalprice").alias("close"))
     out = V.normalise_records(records, spots, keep=("o_orderkey",))
-    return out.select("o_orderkey", "as_of", "expiration", "option_type", "strike", "bid", "ask", "mid", r("underlying_price", 4).alias("underlying_price"))
+    return out.select("o_orderkey", "as_of", "expiration", "option_type", "strike", "bid", "ask", "mid", r("underlying_price", 6).alias("underlying_price"))
 
 
 @query("""WITH p AS (SELECT o_custkey, (o_orderdate + INTERVAL 30 YEAR)::DATE AS as_of, o_orderkey FROM orders WHERE o_orderkey % 2 = 0)

@@ -365,14 +365,14 @@ def svi_fit_recovery(spark, d):
     return f.select("ticker", "as_of", r("T").alias("T"), "source", F.col("n").cast("long").alias("n"), r("k_min").alias("k_min"), r("k_max").alias("k_max"), (F.col("rmse") < 0.003).alias("close"))
 
 
-@query(_OTM_SQL + f""", gk AS (SELECT unnest(list_transform(range(0, 25), lambda i: -0.395 + 0.025 * i))::DOUBLE AS k), gt AS (SELECT unnest([7.0 / 365, 14.0 / 365, 30.0 / 365, 60.0 / 365, 91.0 / 365, 0.5, 1.0, 2.0])::DOUBLE AS tau),
-ed AS (SELECT ticker, as_of, tau, max("T") FILTER ("T" < tau) AS lo, min("T") FILTER ("T" >= tau) AS hi, min("T") AS t0 FROM qr, gt GROUP BY 1, 2, 3),
-ob AS (SELECT ed.*, CASE WHEN tau <= t0 THEN t0 ELSE lo END AS l, hi AS h FROM ed WHERE tau > t0 OR abs(tau - t0) <= 1e-8 + 1e-5 * t0),
+@query(_OTM_SQL + f""", gk AS (SELECT unnest(list_transform(range(0, 25), lambda i: -0.393 + 0.025 * i))::DOUBLE AS k), gt AS (SELECT unnest([7.0 / 365, 14.0 / 365, 30.0 / 365, 60.0 / 365, 91.0 / 365, 0.5, 1.0, 2.0])::DOUBLE AS tau),
+ed AS (SELECT ticker, as_of, tau, max("T") FILTER ("T" < tau) AS lo, min("T") FILTER ("T" >= tau) AS hi, min("T") AS t0, max("T") AS t1 FROM qr, gt GROUP BY 1, 2, 3),
+ob AS (SELECT ed.*, CASE WHEN tau <= t0 THEN t0 WHEN tau >= t1 THEN t1 ELSE lo END AS l, CASE WHEN tau >= t1 THEN t1 ELSE hi END AS h FROM ed WHERE (tau > t0 AND tau < t1) OR abs(tau - t0) <= 1e-8 + 1e-5 * t0 OR abs(tau - t1) <= 1e-8 + 1e-5 * t1),
 ce AS (SELECT ob.ticker, ob.as_of, k FROM ob JOIN qr a ON a.ticker = ob.ticker AND a.as_of = ob.as_of AND a."T" = l JOIN qr b ON b.ticker = ob.ticker AND b.as_of = ob.as_of AND b."T" = h, gk WHERE k >= greatest(a.k_min, b.k_min) AND k <= least(a.k_max, b.k_max))
 SELECT ticker, as_of, count(*) AS observed, count(*) AS close FROM ce GROUP BY 1, 2""")
 def grid_recovery(spark, d):
     """Observed cells of the fitted grid, and how many of them are within 0.3 points of the known surface."""
-    g = S.total_variance(S.fit_surfaces(S.otm_quotes(X.chain(spark, d))), [round(k + 0.005, 3) for k in K_GRID], T_GRID).where("observed")  # no edge of quotes
+    g = S.total_variance(S.fit_surfaces(S.otm_quotes(X.chain(spark, d))), [round(k + 0.007, 3) for k in K_GRID], T_GRID).where("observed")  # no edge of quotes
     k, t = F.col("k"), F.col("tenor")
     true = lambda at: at * (0.20 + 0.01 * at - 0.025 * k / F.sqrt(F.greatest(at, F.lit(1 / 52))) + 0.06 * k * k) ** 2
     tenors = F.array(*map(F.lit, X.TENORS))
