@@ -175,10 +175,10 @@ def test_fingerprints(spark, docs, empty):
             have[tuple(r)] = have.get(tuple(r), 0) + 1
         assert have == want
 
-    check(ROWS, fingerprints(docs, rows_per_range=2).collect())
+    check(ROWS, fingerprints(docs, rows_per_range=2, least_rows=1).collect())
     rng = random.Random(8)
     many = [(rng.choice([None, 5, i]), "\n".join(" ".join(rng.choice(["ab", "cde", "f"]) for _ in range(rng.randint(0, 9))) for _ in range(rng.randint(0, 6)))) for i in range(300)]
-    check(many, fingerprints(spark.createDataFrame(many, "doc_id long, text string").repartition(7), rows_per_range=11).collect())
+    check(many, fingerprints(spark.createDataFrame(many, "doc_id long, text string").repartition(7), rows_per_range=11, least_rows=1).collect())
     check(many[:1], fingerprints(spark.createDataFrame(many[:1], "doc_id long, text string")).collect())
     assert fingerprints(empty).count() == 0
 

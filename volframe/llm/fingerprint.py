@@ -285,7 +285,7 @@ _COLUMNS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerp
 _KEY = "struct<none:boolean,down:bigint,h:bigint>"
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows_per_range: int = 2000) -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows_per_range: int = 20_000, least_rows: int = 500) -> DataFrame:
     """One row per row of docs: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The next document is the one with the next smaller id, after the smallest the largest; the edited text is the text with
@@ -300,7 +300,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce(F.bitwise_not("doc_id"), F.lit(0)).alias("down"), F.xxhash64("text").alias("h"))
     out = "doc_id string, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     keyed = base.select("doc_id", "text", key.alias("key"))
-    ranges = max(1, -(-docs.count() // rows_per_range))
+    n, parts = docs.count(), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(1, -(-n // rows_per_range), min(parts, -(-n // least_rows)))  # the driver sees a hundred keys a range
     firsts = keyed.select("key").repartitionByRange(ranges, "key").groupBy(F.spark_partition_id().alias("p")).agg(F.min("key").alias("key")).orderBy("key")
     rows = [r.key for r in firsts.collect()]  # a row for each range
     n = max(len(rows), 1)
