@@ -35,6 +35,38 @@ def term_shape(short: Column, mid: Column, long: Column, flat: float = 0.005) ->
     return F.when(F.abs(long - short) < flat, "FLAT").when((mid > short) & (mid > long), "HUMPED").when(long < short, "INVERTED").when(long.isNotNull() & short.isNotNull(), "NORMAL")
 
 
+def term_fit(points: DataFrame, by: list[str], t: str = "T", iv: str = "iv", flat: float = 0.005, hump: float = 0.005) -> DataFrame:
+    """One row per term structure: n, slope (least squares), curvature (of a parabola), spread (last less first) and shape.
+
+    Rows with a null are left out. One point has slope 0, two have curvature 0; equal tenors count as they are. The shape is
+    FLAT within `flat` of slope, HUMPED if an inner point is above both ends by `hump`, else INVERTED or NORMAL.
+    """
+    x, y = F.col(t), F.col(iv)
+    p = points.where(x.isNotNull() & y.isNotNull()).withColumn("_s", x * x)
+    f = p.groupBy(*by).agg(
+        F.count("*").alias("n"), F.var_pop(x).alias("xx"), F.var_pop("_s").alias("ss"), F.covar_pop(x, F.col("_s")).alias("xs"), F.covar_pop(x, y).alias("xy"), F.covar_pop(F.col("_s"), y).alias("sy"),
+        F.min_by(iv, t).alias("first"), F.max_by(iv, t).alias("last"), F.max(F.struct(iv, (-x).alias("t"))).alias("peak"), F.min(t).alias("lo"), F.max(t).alias("hi"),
+    )
+    det = F.col("xx") * F.col("ss") - F.col("xs") * F.col("xs")
+    slope = F.when((F.col("n") >= 2) & (F.col("xx") > 0), F.col("xy") / F.col("xx")).otherwise(0.0)
+    curvature = F.when((F.col("n") >= 3) & (det > 0), (F.col("xx") * F.col("sy") - F.col("xs") * F.col("xy")) / det).otherwise(0.0)
+    top, at = F.col(f"peak.{iv}"), -F.col("peak.t")
+    humped = (F.col("n") >= 3) & (at > F.col("lo")) & (at < F.col("hi")) & (top > F.col("first") + hump) & (top > F.col("last") + hump)
+    shape = F.when(F.abs(slope) < flat, "FLAT").when(humped, "HUMPED").when(slope < -flat, "INVERTED").otherwise("NORMAL")
+    return f.select(*by, "n", slope.alias("slope"), curvature.alias("curvature"), (F.col("last") - F.col("first")).alias("spread"), shape.alias("shape"))
+
+
+def inversions(points: DataFrame, by: list[str], t: str = "T", iv: str = "iv", threshold: float = 0.01) -> DataFrame:
+    """by, near, far: the tenors of which the nearer has the higher volatility, by more than threshold.
+
+    A term structure is a short array (one entry per expiry), compared within its row. Rows with a null are left out.
+    """
+    rows = points.where(F.col(t).isNotNull() & F.col(iv).isNotNull()).groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(F.col(t).alias("t"), F.col(iv).alias("v")))).alias("_p"))
+    near = rows.select(*by, "_p", F.explode("_p").alias("_n"))
+    far = near.withColumn("_f", F.explode(F.filter("_p", lambda p: (p["t"] > F.col("_n.t")) & (F.col("_n.v") > p["v"] + threshold))))
+    return far.select(*by, F.col("_n.t").alias("near"), F.col("_f.t").alias("far"))
+
+
 def information_criteria(fits: DataFrame, by: list[str]) -> DataFrame:
     """fits(model, n_params, n_obs, sse): Gaussian AIC and BIC, difference to the best, Akaike weight."""
     n = F.col("n_obs")
