@@ -70,12 +70,13 @@ def align(frame: DataFrame, sessions: DataFrame, key: str, date: str) -> DataFra
 
 
 def shifted(frame: DataFrame, key: str, value: str, n: int, name: str) -> DataFrame:
-    """frame with the value of n sessions before (after, if n is negative), null where that session has no row.
+    """frame with the value of the row n sessions earlier (n < 0: later) as name; null where no such row is.
 
-    frame has one row per key and session; a row whose key or number is null gets null.
+    A window whose frame is that one session: no join, and one sort for all shifts of a key. frame has seq. Rows with a null
+    key or seq get null; if (key, seq) repeats, the largest value of that session counts.
     """
-    other = frame.select(F.col(key), (F.col("seq") + n).alias("seq"), F.col(value).alias(name))
-    return frame.join(other, [key, "seq"], "left")
+    there = Window.partitionBy(key).orderBy("seq").rangeBetween(-n, -n)
+    return frame.withColumn(name, F.when(F.col(key).isNotNull() & F.col("seq").isNotNull(), F.max(value).over(there)))
 
 
 def trailing(key: str | Sequence[str], order: str, rows: int) -> object:
