@@ -99,10 +99,10 @@ def feature_table(surface: DataFrame, prices: DataFrame, market: DataFrame, macr
     """
     real = realized_features(fill_closes(prices, surface.select("ticker", "date", "spot")))
     real = real.select("ticker", "date", "ret_1d", "ret_5d", "ret_21d", "rv_cc_10d", "rv_cc_21d", "rv_cc_63d", "rv_yz_21d")
-    f = surface.join(real, ["ticker", "date"], "left")
+    f = asof_join(surface, macro.select("published", F.col("value").alias("macro")), "date", "published", values=["macro"])  # before the joins, as it reads its left side twice
+    f = f.join(real, ["ticker", "date"], "left")
     f = f.withColumn("vrp_30d", F.col("atm_30d") - F.col("rv_cc_21d")).withColumn("vrp_var_30d", F.col("vs_30d") ** 2 - F.col("rv_cc_21d") ** 2)
     f = f.join(market.select("date", *[F.col(a).alias(b) for a, b in MARKET_COLUMNS.items() if a in market.columns]), "date", "left")
-    f = asof_join(f, macro.select("published", F.col("value").alias("macro")), "date", "published", values=["macro"])
     if earnings is not None:
         f = f.join(earnings, ["ticker", "date"], "left")
     return add_dynamics(f, sessions, dynamics)
