@@ -9,7 +9,7 @@ import pytest
 
 from volframe.plans import registry
 
-FAST = ["daily_bars", "realized_vol", "rolling_zscore", "rolling_pct_rank", "calendar_gap_diff", "asof_macro", "asof_rates_interp", "next_prev_event", "upsert_coalesce", "dedup_keep_last", "replace_by_key", "occ_parse", "coverage_gaps", "missing_streak", "forward_labels", "har_dataset", "diebold_mariano", "predictive_regression", "model_selection", "parity_forward", "surface_points", "surface_density", "surface_verdict", "calendar_arbitrage", "stored_grid", "variance_swap", "black76_greeks", "implied_event_variance", "historical_event_variance", "scheduled_next", "fill_closes", "feature_dynamics", "freshness"]
+FAST = ["daily_bars", "realized_vol", "rolling_zscore", "rolling_pct_rank", "calendar_gap_diff", "asof_macro", "asof_rates_interp", "next_prev_event", "upsert_coalesce", "dedup_keep_last", "replace_by_key", "occ_parse", "coverage_gaps", "missing_streak", "forward_labels", "har_dataset", "diebold_mariano", "predictive_regression", "model_selection", "parity_forward", "surface_points", "surface_density", "surface_verdict", "calendar_arbitrage", "stored_grid", "variance_swap", "black76_greeks", "implied_event_variance", "historical_event_variance", "scheduled_next", "fill_closes", "feature_dynamics", "freshness", "exchange_sessions", "collection_guard", "term_fit", "term_inversions", "forward_changes"]
 
 
 def plain(v):
