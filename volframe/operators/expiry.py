@@ -79,16 +79,17 @@ def is_observed(b: Column, k: Column) -> Column:
     return ((b["lo"]["T"] != b["hi"]["T"]) | near) & (k >= low) & (k <= high)
 
 
-def delta_strike(b: Column, delta: float) -> Column:
+def delta_strike(b: Column, delta: float | Column) -> Column:
     """k at which the forward delta is `delta` (below 0: a put's) with the smile's own volatility there; null if not in -4..3.
 
     The call delta falls with k on a smile free of arbitrage, so halving finds it.
     """
-    target = delta if delta > 0 else 1 + delta
+    delta = delta if isinstance(delta, Column) else F.lit(float(delta))
+    target = F.when(delta > 0, delta).otherwise(1 + delta)
 
     def gap(k: Column) -> Column:
         root = lambda at: _let(F.sqrt(total_variance(b, at)), lambda s: -at / s + s / 2)
-        return _let(root(k), ncdf) - F.lit(target)
+        return _let(root(k), ncdf) - target
 
     def halve(s: Column, _: Column) -> Column:
         def half(mid: Column) -> Column:
