@@ -9,7 +9,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from volframe.llm.clusters import clusters
 from volframe.llm.common import held_out, shared_dir
+from volframe.llm.decontaminate import decontaminate
 from volframe.llm.exact_dedup import exact_dedup
 from volframe.llm.fingerprint import fingerprints
 from volframe.llm.license_scan import fit_licenses, license_scan
@@ -17,8 +19,10 @@ from volframe.llm.minhash import near_dedup
 from volframe.llm.mixing import mix
 from volframe.llm.packing import pack
 from volframe.llm.quality import fit_quality, quality
+from volframe.llm.queries_sql import OP11, OP12, op13
 from volframe.llm.suffix_dedup import suffix_dedup
 from volframe.llm.toxicity import fit_toxicity, toxicity
+from volframe.llm.variants import variants
 from volframe.llm.warc import page_of, read_warc, write_warc
 
 OPS_DIR = Path(__file__).resolve().parents[2]
@@ -86,6 +90,22 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))[0].select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(table(spark, sf_dir, "documents"))
+
+
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = clusters(table(spark, sf_dir, "embeddings"))
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ",").cast("binary"), 256)
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     if str(OPS_DIR) not in sys.path:
         sys.path.insert(0, str(OPS_DIR))
@@ -106,6 +126,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash": op8_minhash,
         "op9_warc": op9_warc,
         "op10_mixing": op10_mixing,
+        "op11_variants": op11_variants,
+        "op12_decontaminate": op12_decontaminate,
+        "op13_clusters": op13_clusters,
         "pipeline": pipeline,
     }
 
@@ -136,4 +159,7 @@ WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
 h AS (SELECT page_id, strlen(t)::BIGINT AS payload_bytes, sha1(t) AS h, max(page_id) OVER (PARTITION BY t) AS top FROM p)
 SELECT page_id, payload_bytes, {letters} AS payload_digest,
        CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to FROM h""",
+        "op11_variants": OP11,
+        "op12_decontaminate": OP12,
+        "op13_clusters": op13(),
     }
