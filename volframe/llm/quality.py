@@ -159,7 +159,8 @@ def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = 4000, most_lines: int = 200_000, id_col: str = "doc_id", text_col: str = "text") -> LineModel:
     """Learn from whole labelled documents: at most sample_rows, and so many of these (in order of a hash) as have most_lines
-    lines together, which bounds what the driver sees.
+    lines together, which bounds what the driver sees. A document with more than a hundredth of most_lines is no example,
+    so that one cannot take the place of the others; all are scored.
 
     Rows without a label, with labels other than 0 and 1, or held out are left out. With labels of one class or none, lines
     are told apart by repeated words and symbols only.
@@ -167,7 +168,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = 4000, mos
     rows = sample_of(docs, labels, "quality", sample_rows, id_col, text_col).select("doc_id", "text", "quality").mapInPandas(_features, "doc_id long, quality int, x binary, length binary, lines int")
     rows = stage(rows, "op5-lines")
     order = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "h").rowsBetween(Window.unboundedPreceding, 0)  # sample_rows small rows at most
-    chosen = rows.select("doc_id", "lines", F.xxhash64("x").alias("h")).withColumn("so_far", F.sum("lines").over(order))
+    chosen = rows.where(F.col("lines") <= most_lines // 100).select("doc_id", "lines", F.xxhash64("x").alias("h")).withColumn("so_far", F.sum("lines").over(order))
     chosen = chosen.where(F.col("so_far") <= most_lines).select("doc_id", "h").distinct()
     rows = rows.withColumn("h", F.xxhash64("x")).join(chosen, ["doc_id", "h"]).orderBy("doc_id", "h").select("quality", "x", "length").toPandas()
     truth = rows.quality.to_numpy() if len(rows) else np.zeros(0)
