@@ -167,9 +167,10 @@ def logistic(x: np.ndarray, q: np.ndarray, penalty: float, rounds: int = 25, wei
 def sample_of(docs: DataFrame, labels: DataFrame, label: str, rows: int, id_col: str, text_col: str) -> DataFrame:
     """At most `rows` labelled rows that may be learned from (first by a hash of the id), with their texts.
 
-    Ids are chosen first, texts are joined to the chosen ones; of labels of one id any one counts.
+    Ids are chosen first, texts are joined to the chosen ones. An id that is labelled both ways is left out.
     """
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias(label)).where(F.col(label).isin(0, 1) & ~held_out("doc_id")).dropDuplicates(["doc_id"])
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias(label)).where(F.col(label).isin(0, 1) & ~held_out("doc_id"))
+    known = known.groupBy("doc_id").agg(F.min(label).alias(label), F.max(label).alias("_most")).where(F.col(label) == F.col("_most")).drop("_most")
     known = first_by_hash(known, rows, "doc_id")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     return stage(texts.join(known, "doc_id"), "labelled")
