@@ -6,8 +6,10 @@ partition columns, so only the folders asked for are listed and read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,12 +21,17 @@ CONTRACT = ("ticker", "date", "expiration", "strike", "option_type")
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    """Whether there is a table of Parquet files."""
+    try:
+        return bool(spark.read.parquet(path).schema)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
-def _replace(rows: DataFrame, path: str) -> None:
+def replace(rows: DataFrame, path: str) -> None:
+    """Write rows, replacing the partitions (ticker, date) that they have; others stay. rows may not read path itself."""
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("ticker", "date").parquet(path)
 
 
@@ -43,14 +50,26 @@ def save_chain(chain: DataFrame, path: str, arrival: Sequence[str] = ()) -> None
         old = spark.read.parquet(path).join(F.broadcast(touched) if touched.count() <= 100_000 else touched, ["ticker", "date"], "left_semi").withColumn("_new", F.lit(0))
         new = old.unionByName(new, allowMissingColumns=True)
     out = keep_last(new, [c for c in CONTRACT if c in new.columns], ["_new", *arrival]).drop("_new")
-    _replace(_staged(out, path), path)
+    replace(staged(out, path), path)
 
 
-def _staged(rows: DataFrame, path: str) -> DataFrame:
-    """Rows written beside the store first: what is read must not be what is replaced."""
-    beside = f"{path.rstrip('/')}.next"
-    rows.write.mode("overwrite").parquet(beside)
-    return rows.sparkSession.read.parquet(beside)
+def staged(rows: DataFrame, path: str) -> DataFrame:
+    """Rows as a table of their own: what is read must not be what is replaced.
+
+    It is a checkpoint if spark.checkpoint.dir is set, which Spark cleans up; else a folder beside path that no other
+    writer uses.
+    """
+    spark = rows.sparkSession
+    if spark.sparkContext.getCheckpointDir():
+        return rows.checkpoint()
+    beside = f"{path.rstrip('/')}.next-{uuid.uuid4().hex}"
+    rows.write.parquet(beside)
+    return spark.read.schema(rows.schema).parquet(beside)
+
+
+def kept(rows: DataFrame) -> DataFrame:
+    """Rows for several uses: a checkpoint if spark.checkpoint.dir is set, which goes with the last reference; else cached."""
+    return rows.checkpoint() if rows.sparkSession.sparkContext.getCheckpointDir() else rows.persist()
 
 
 def load(spark: SparkSession, path: str, tickers: Sequence[str] | None = None, start=None, end=None, columns: Sequence[str] | None = None) -> DataFrame:
@@ -73,13 +92,13 @@ def available(spark: SparkSession, path: str) -> DataFrame:
 def save_surfaces(slices: DataFrame, path: str, builder: str = BUILDER) -> None:
     """Write fitted slices, replacing the surfaces of their days; needs ticker and date (or as_of)."""
     s = slices if "date" in slices.columns else slices.withColumn("date", F.to_date("as_of"))
-    _replace(s.withColumn("builder", F.lit(builder)), path)
+    replace(s.withColumn("builder", F.lit(builder)), path)
 
 
 def load_surfaces(spark: SparkSession, path: str, builder: str | None = BUILDER, **where) -> DataFrame:
-    """Slices of surfaces built by the given version (None: any)."""
+    """Slices of surfaces built by the given version (None: any). Partitions that hold a rejection alone have none."""
     s = load(spark, path, **where)
-    return s if builder is None else s.where(F.col("builder") == builder)
+    return s.where(F.col("builder").isNotNull() if builder is None else F.col("builder") == builder)
 
 
 def to_build(spark: SparkSession, chains: str, surfaces: str, builder: str = BUILDER) -> DataFrame:
