@@ -50,11 +50,11 @@ def grid_figures(slices: DataFrame, strikes: Sequence[float], tenors: Sequence[f
     g = S.calendar_filter(S.total_variance(slices, list(strikes), list(tenors)))
     bad = F.col("iv").isNull() | F.isnan("iv") | (F.abs("iv") == float("inf"))
     stats = g.groupBy("ticker", "as_of").agg(F.avg(bad.cast("double")).alias("nan_fraction"), F.min(F.when(~bad, F.col("iv"))).alias("iv_min"), F.max(F.when(~bad, F.col("iv"))).alias("iv_max"), F.avg(F.col("observed").cast("double")).alias("observed_fraction"))
-    p, t = F.col("points"), F.lit(0.25)
-    at = lambda k, tenor: E.bilinear(p, k, tenor)
-    put, call = (F.col(c) for c in ("_put", "_call"))
-    read = E.from_long(g).withColumns({"_put": E.grid_delta_strike(p, -0.25, t), "_call": E.grid_delta_strike(p, 0.25, t)})
-    read = read.select("ticker", "as_of", at(F.lit(0.0), t).alias("atm_3m"), at(F.lit(0.0), F.lit(1.0)).alias("atm_1y"), (at(put, t) - at(call, t)).alias("skew_3m"))
+    t = F.lit(0.25)
+    read = E.from_long(g).withColumns({"_m": E.smile_at(F.col("points"), t), "_y": E.smile_at(F.col("points"), F.lit(1.0))})
+    read = read.withColumns({"_put": E.smile_delta_strike(F.col("_m"), -0.25, t), "_call": E.smile_delta_strike(F.col("_m"), 0.25, t)})
+    at = lambda smile, k: E.smile_iv(F.col(smile), k)
+    read = read.select("ticker", "as_of", at("_m", F.lit(0.0)).alias("atm_3m"), at("_y", F.lit(0.0)).alias("atm_1y"), (at("_m", F.col("_put")) - at("_m", F.col("_call"))).alias("skew_3m"))
     return stats.join(read, ["ticker", "as_of"])
 
 

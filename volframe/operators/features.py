@@ -29,9 +29,7 @@ def surface_features(slices: DataFrame, keys=("ticker", "as_of"), spot: str | No
     """
     surf = E.surfaces(E.variance_swaps(slices, keys=(*keys, "T")), keys).where(F.size("slices") >= 2)
     surf = surf.withColumns({f"_b_{n}": E.bracket(F.col("slices"), F.lit(d / 365)) for n, d in TENORS_DAYS.items()})
-    wanted = [(n, d) for n in SMILE_TENORS for d in DELTAS]  # one array, as for the points below
-    surf = surf.withColumn("_s", F.transform(F.array(*[F.struct(F.col(f"_b_{n}").alias("b"), F.lit(float(DELTAS[d])).alias("d")) for n, d in wanted]), lambda p: E.delta_strike(p["b"], p["d"])))
-    surf = surf.withColumns({f"_k_{d}_{n}": F.get("_s", F.lit(i)) for i, (n, d) in enumerate(wanted)})
+    surf = surf.withColumns({f"_k_{d}_{n}": E.delta_strike(F.col(f"_b_{n}"), DELTAS[d]) for n in SMILE_TENORS for d in DELTAS})
 
     def value(p: Column) -> Column:
         return F.when(F.lit(True) if extrapolate else p["b"]["inside"] & E.is_observed(p["b"], p["k"]), E.iv(p["b"], p["k"]))

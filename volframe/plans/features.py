@@ -131,3 +131,41 @@ def forward_changes(spark, d):
     """Change of a column over the sessions ahead."""
     out = A.label_atm(X.bars(spark, d).select("ticker", "date", "close"), X.sessions(spark, d), "close")
     return out.select("ticker", "date", r("label_atm_5").alias("label_atm_5"), r("label_atm_21").alias("label_atm_21"))
+
+
+_STUDY = ["rv_cc_10d", "rv_cc_63d", "rv_yz_21d", "ret_5d", "ret_21d"]
+_STUDY_SQL = _FEATURES_SQL + f""", lb AS (SELECT ticker, date, CASE WHEN count(r1) OVER w = 21 THEN sum(r1) OVER w END AS ahead, CASE WHEN count(r1) OVER w = 21 THEN sum(r1 * r1) OVER w END AS v FROM ret WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 1 FOLLOWING AND 21 FOLLOWING)),
+sx AS (SELECT f.ticker, f.date, rv_cc_10d, rv_cc_63d, rv_yz_21d, r5 AS ret_5d, r21 AS ret_21d, ahead AS "forward return", ln(252.0 / 21 * v) - ln(rv_cc_21d * rv_cc_21d) AS "excess variance" FROM f JOIN lb USING (ticker, date)),
+s1 AS (UNPIVOT sx ON {', '.join(_STUDY)} INTO NAME feature VALUE x), s2 AS (UNPIVOT s1 ON "forward return", "excess variance" INTO NAME target VALUE y),
+s3 AS (SELECT *, count(*) OVER g AS n, (x - avg(x) OVER g) / stddev_pop(x) OVER g AS z, y - avg(y) OVER g AS dy FROM s2 WINDOW g AS (PARTITION BY ticker, target, feature)),
+s4 AS (SELECT *, avg(z * dy) OVER g AS b FROM s3 WHERE n >= 100 WINDOW g AS (PARTITION BY ticker, target, feature)),
+s5 AS (SELECT ticker, target, feature, max(n) AS n, max(b) AS slope, 1 - sum(pow(dy - b * z, 2)) / sum(dy * dy) AS r2, list(z * (dy - b * z) ORDER BY date) AS s FROM s4 GROUP BY 1, 2, 3),
+fit AS (SELECT ticker, target, feature, n, slope, r2, slope * n / sqrt(list_inner_product(s, s) + list_sum(list_transform(range(1, 22), lambda k: 2 * (1 - k / 22.0) * list_inner_product(s[1:len(s) - k], s[k + 1:])))) AS t FROM s5)"""
+
+
+def _study_fits(spark, d):
+    from volframe.operators import realized as R
+    from volframe.operators import study as Y
+
+    b = X.bars(spark, d)
+    rows = R.realized_features(b).join(R.labels(b).select("ticker", "date", "label_rv_21", "label_ret_21"), ["ticker", "date"])
+    targets = {"forward return": "label_ret_21", "excess variance": F.log(F.col("label_rv_21") ** 2) - F.log(F.col("rv_cc_21d") ** 2)}
+    return Y.regressions(Y.panel(rows, _STUDY, targets), 21)
+
+
+@query(_STUDY_SQL + " SELECT ticker, target, feature, n, round(slope, 6) AS slope, round(t, 5) AS t, round(r2, 6) AS r2 FROM fit")
+def predictive_panel(spark, d):
+    """Every feature against every target, ticker by ticker, with Newey-West errors."""
+    return _study_fits(spark, d).select("ticker", "target", "feature", "n", r("slope").alias("slope"), r("t", 5).alias("t"), r("r2").alias("r2"))
+
+
+@query(_STUDY_SQL + """, m AS (SELECT *, CASE WHEN ticker IN ('AMERICA', 'EUROPE') THEN 'west' WHEN ticker = 'ASIA' THEN 'east' ELSE 'rest' END AS "group" FROM fit),
+md AS (SELECT *, median(slope) OVER (PARTITION BY target, "group", feature) AS med FROM m),
+su AS (SELECT target, "group", feature, count(DISTINCT ticker) AS tickers, max(med) AS median_slope, count(*) FILTER (abs(t) > 2) AS significant, count(*) FILTER (sign(slope) = sign(med)) AS same_sign, median(r2) AS median_r2 FROM md GROUP BY 1, 2, 3)
+SELECT target, "group", feature, tickers, round(median_slope, 6) AS median_slope, significant, same_sign, round(median_r2, 6) AS median_r2, row_number() OVER (PARTITION BY target ORDER BY CASE "group" WHEN 'west' THEN 1 WHEN 'east' THEN 2 ELSE 3 END, significant DESC, "group", feature)::INT AS place FROM su""")
+def feature_study(spark, d):
+    """Features by target and group: how strong, how often significant, how often of one sign."""
+    from volframe.operators import study as Y
+
+    group = F.when(F.col("ticker").isin("AMERICA", "EUROPE"), "west").when(F.col("ticker") == "ASIA", "east").otherwise("rest")
+    return rounded(Y.summarise(_study_fits(spark, d), group, ["west", "east"]), "median_slope", "median_r2")

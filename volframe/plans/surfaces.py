@@ -27,15 +27,32 @@ def surface_points(spark, d):
 _QC_SQL = f"""{_GRID_SQL}, c AS (SELECT *, max(greatest(w, 1e-12)) OVER (PARTITION BY ticker, as_of, k ORDER BY tenor) AS cw FROM g)"""
 
 
-@query(f"""{_QC_SQL}, n AS (SELECT *, lag(cw) OVER s AS w0, lead(cw) OVER s AS w2, k - lag(k) OVER s AS h0, lead(k) OVER s - k AS h2 FROM c WINDOW s AS (PARTITION BY ticker, as_of, tenor ORDER BY k)),
-e AS (SELECT *, (h0 * h0 * w2 + (h2 * h2 - h0 * h0) * cw - h2 * h2 * w0) / (h0 * h2 * (h0 + h2)) AS d1, 2 * (h0 * w2 - (h0 + h2) * cw + h2 * w0) / (h0 * h2 * (h0 + h2)) AS d2 FROM n)
-SELECT ticker, as_of, round(k, 6) AS k, round(tenor, 6) AS tenor, round(cw, 8) AS w, round(sqrt(cw / tenor), 6) AS iv, round(pow(1 - k * d1 / (2 * cw), 2) - d1 * d1 / 4 * (1 / cw + 0.25) + d2 / 2, 5) AS g FROM e""")
+def _gradient_sql(y: str) -> str:
+    x0, x2, y0, y2 = "lag(k) OVER s", "lead(k) OVER s", f"lag({y}) OVER s", f"lead({y}) OVER s"
+    h0, h2 = f"(k - {x0})", f"({x2} - k)"
+    inner = f"({h0} * {h0} * {y2} + ({h2} * {h2} - {h0} * {h0}) * {y} - {h2} * {h2} * {y0}) / ({h0} * {h2} * ({h0} + {h2}))"
+    return f"CASE WHEN {x0} IS NULL THEN ({y2} - {y}) / {h2} WHEN {x2} IS NULL THEN ({y} - {y0}) / {h0} ELSE {inner} END"
+
+
+_DENSITY_SQL = f"""{_QC_SQL}, e1 AS (SELECT *, {_gradient_sql('cw')} AS d1 FROM c WINDOW s AS (PARTITION BY ticker, as_of, tenor ORDER BY k)),
+e2 AS (SELECT *, {_gradient_sql('d1')} AS d2 FROM e1 WINDOW s AS (PARTITION BY ticker, as_of, tenor ORDER BY k)),
+dg AS (SELECT *, pow(1 - k * d1 / (2 * cw), 2) - d1 * d1 / 4 * (1 / cw + 0.25) + d2 / 2 AS g FROM e2)"""
+
+
+@query(f"{_DENSITY_SQL} SELECT ticker, as_of, round(k, 6) AS k, round(tenor, 6) AS tenor, round(cw, 8) AS w, round(sqrt(cw / tenor), 6) AS iv, round(g, 5) AS g FROM dg")
 def surface_density(spark, d):
     """The grid without calendar arbitrage, and the density that is negative where butterflies allow arbitrage."""
     g = S.density(S.calendar_filter(S.total_variance(X.slices(spark, d), K_GRID, T_GRID)))
     return g.select("ticker", "as_of", r("k").alias("k"), r("tenor").alias("tenor"), r("w", 8).alias("w"), r("iv").alias("iv"), r("g", 5).alias("g"))
 
 
+@query(f"""{_DENSITY_SQL} SELECT ticker, as_of, round(tenor, 6) AS tenor, count(*) AS points, count(*) FILTER (g < -1e-8) = 0 AS free, count(*) FILTER (g < -1e-8) AS violations, round(min(g), 5) AS least, round(arg_min(k, g), 6) AS at FROM dg GROUP BY ticker, as_of, tenor""")
+def butterfly_verdict(spark, d):
+    """Whether each smile of the grid is free of butterfly arbitrage, and where its density is least."""
+    v = S.butterfly_verdict(S.calendar_filter(S.total_variance(X.slices(spark, d), K_GRID, T_GRID)))
+    return v.select("ticker", "as_of", r("tenor").alias("tenor"), "points", "free", "violations", r("least", 5).alias("least"), r("at").alias("at"))
+
+
 @query(f"""{_GRID_SQL}, v AS (SELECT *, sqrt(w / tenor) AS iv FROM g), q AS (SELECT ticker, as_of, avg((iv IS NULL)::INT) AS missing, min(iv) AS lo, max(iv) AS hi FROM v GROUP BY 1, 2)
 SELECT ticker, as_of, round(missing, 6) AS missing, round(lo, 6) AS lo, round(hi, 6) AS hi, CASE WHEN missing = 1 THEN 'empty' WHEN missing > 0.5 THEN 'mostly missing' WHEN lo <= 0.01 THEN 'too low' WHEN hi > 3 THEN 'too high' END AS reason,
  NOT (missing > 0.5 OR lo <= 0.01 OR hi > 3) AS accepted FROM q""")
