@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from volframe.operators.timeseries import day_numbers
+
 #: Minutes after midnight, exchange time.
 CLOSE, EARLY_CLOSE = 16 * 60, 13 * 60
 #: Options trade for a quarter of an hour after the close; thin chains are read in the last half hour before it.
@@ -70,6 +72,40 @@ def close_minute(day: Column, closed: Sequence = ()) -> Column:
     return F.when(is_session(day, closed), F.when(half, EARLY_CLOSE).otherwise(CLOSE))
 
 
+#: Releases from this hour on, exchange time, move the next session.
+AFTER_HOUR = 12
+ZONE = "America/New_York"
+
+
+def exchange_time(instant: Column, zone: str = ZONE) -> Column:
+    """A timestamp's date and time of day at the exchange, as a timestamp without zone, whatever the session's zone is.
+
+    The hour that the clocks skip in spring never comes out, that which they repeat in autumn comes out twice.
+    """
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    utc = epoch + F.make_dt_interval(secs=(F.unix_micros(instant) / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)"))
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+
+
+def exchange_calendar(dates: DataFrame, column: str = "date", after: int = 10, closed: Sequence = ()) -> DataFrame:
+    """Sessions of the exchange from the first date to `after` days beyond the last one: session and its number seq from 1."""
+    span = dates.agg(F.min(column).cast("date").alias("a"), F.max(column).cast("date").alias("b"))
+    days = span.select(F.explode(F.sequence(F.col("a"), F.date_add("b", after))).alias("session")).where(is_session(F.col("session"), closed))
+    return days.withColumn("seq", F.row_number().over(Window.orderBy("session")))  # a row a day
+
+
+def session_of(events: DataFrame, sessions: DataFrame, at: str = "announced") -> DataFrame:
+    """events with `session`, the session that each moves: its own day, or the next session if that is none or noon is past.
+
+    `at` is exchange time (see exchange_time). Null before the first session, beyond the last one, and for a null time.
+    """
+    days = day_numbers(sessions, 0).join(sessions.select(F.col("session").alias("day"), F.col("seq").alias("_own")), "day", "left").withColumnRenamed("day", "_day")
+    f = events.withColumn("_day", F.col(at).cast("date")).join(days, "_day", "left")
+    seq = F.when(F.col("_own").isNull(), F.when(F.col("pos") > 0, F.col("pos") + 1)).otherwise(F.col("_own") + (F.hour(at) >= AFTER_HOUR).cast("int"))
+    f = f.withColumn("_seq", seq).drop("_day", "pos", "_own")
+    return f.join(sessions.select(F.col("seq").alias("_seq"), "session"), "_seq", "left").drop("_seq")
+
+
 def _second(now: Column) -> Column:
     return F.hour(now) * 3600 + F.minute(now) * 60 + F.second(now)
 

@@ -11,7 +11,7 @@ from volframe.operators import sabr as A
 from volframe.operators import snapshot as N
 from volframe.operators import surface as S
 from volframe.plans.features import _TABLE_SQL, _feature_table
-from volframe.plans.registry import query, r
+from volframe.plans.registry import query, r, rounded
 from volframe.plans.surfaces import _SLICES
 from volframe.sources import fixtures as X
 
@@ -118,3 +118,38 @@ def snapshot_documents(spark, d):
     groups = X.table(spark, d, "region").select(F.col("r_name").alias("ticker"), F.substring("r_name", 1, 1).alias("asset_group"))
     s = N.snapshots(_feature_table(spark, d).select("ticker", "date", "earn_next_date", *sorted(_KNOWN)), groups, F.lit(_AS_OF).cast("date"), market="EUROPE")
     return s.select("ticker", "as_of", N.as_json(F.col("document")).alias("document"), N.digest(F.col("document"), "v1").alias("digest"))
+
+
+_INSTANTS_SQL = f"""{_DAYS_SQL}, iv AS (SELECT event_id, (ts + to_days((event_id % 400)::INT)) AS u FROM events), lo AS (SELECT event_id, (u AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS local FROM iv)"""
+
+
+@query(f"""WITH {_INSTANTS_SQL}, cs AS (SELECT day FROM closing)
+SELECT event_id, strftime(local, '%Y-%m-%d %H:%M:%S') AS local, CASE WHEN extract(hour FROM local) >= 12 AND local::DATE IN (SELECT day FROM cs) THEN (SELECT min(day) FROM cs WHERE day > local::DATE) ELSE (SELECT min(day) FROM cs WHERE day >= local::DATE) END AS session FROM lo""")
+def event_instants(spark, d):
+    """Events spread over more than a year as instants: exchange time across both changes of the clock, and the session moved."""
+    e = X.table(spark, d, "events")
+    utc = F.col("ts").cast("timestamp_ntz") + F.make_dt_interval(days=(F.col("event_id") % 400).cast("int"))
+    e = e.select("event_id", M.exchange_time(F.timestamp_micros(F.round(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), utc)).cast("long"))).alias("announced"))
+    days = M.exchange_calendar(e.select(F.date_sub(F.col("announced").cast("date"), 10).alias("date")), after=30)
+    return M.session_of(e, days).select("event_id", F.date_format("announced", "yyyy-MM-dd HH:mm:ss").alias("local"), "session")
+
+
+_SNAPS_SQL = f"""WITH {X.IDX_SQL.strip()}, sn AS (SELECT y, date, CASE WHEN date >= make_date(y, 12, 1) THEN NULL ELSE vix + 0.001 * (y - 1990) END AS vix, CASE WHEN y % 2 = 0 THEN vix3m + 0.001 * (y - 1990) END AS vix3m, CASE WHEN y % 2 = 1 THEN skew END AS skew
+ FROM wide, (SELECT unnest(range(1992, 1999)) AS y) WHERE date >= make_date((y - 1)::INT, 9, 1) AND date <= make_date(y::INT, 12, 31) UNION ALL SELECT 0, date, vix - 1, NULL, skew - 1 FROM wide)"""
+
+
+@query(f"""{_SNAPS_SQL} SELECT date, round(arg_max(vix, y) FILTER (vix IS NOT NULL), 9) AS vix, round(arg_max(vix3m, y) FILTER (vix3m IS NOT NULL), 9) AS vix3m, round(arg_max(skew, y) FILTER (skew IS NOT NULL), 9) AS skew FROM sn GROUP BY date""")
+def index_snapshots(spark, d):
+    """Overlapping snapshot files of a year each, of different columns, unsettled in their last month, and a backfill: read
+    back by the versions in their names as one history.
+    """
+    from volframe.sources import snapshots as N
+    from volframe.sources.store import kept, scratch
+
+    folder, wide = scratch(spark), kept(X.index_wide(spark, d))
+    for y in range(1992, 1999):
+        own = wide.where(F.col("date").between(f"{y - 1}-09-01", f"{y}-12-31"))
+        other = (F.col("vix3m") + F.lit(0.001 * (y - 1990))).alias("vix3m") if y % 2 == 0 else F.col("skew")
+        N.save_index_snapshot(own.select("date", F.when(F.col("date") < f"{y}-12-01", F.col("vix") + F.lit(0.001 * (y - 1990))).alias("vix"), other), folder, f"{y}-12-31")
+    N.save_backfill(wide.select("date", (F.col("vix") - 1).alias("vix"), (F.col("skew") - 1).alias("skew")), folder)
+    return rounded(N.index_history(spark, folder), "vix", "vix3m", "skew", digits=9)

@@ -6,6 +6,7 @@ partition columns, so only the folders asked for are listed and read.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -67,6 +68,16 @@ def staged(rows: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(beside)
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder that driver and executors share, below spark.checkpoint.dir; with a local master a temporary one will do."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    return f"{base.rstrip('/')}/volframe-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
 def kept(rows: DataFrame) -> DataFrame:
     """Rows for several uses: a checkpoint if spark.checkpoint.dir is set, which goes with the last reference; else cached."""
     return rows.checkpoint() if rows.sparkSession.sparkContext.getCheckpointDir() else rows.persist()
