@@ -34,3 +34,24 @@ def test_refits_pool_all_closed_rows(spark, h):
     assert got.keys() == want.keys() and ("C", rows[-1][1]) in want
     for k, w in want.items():
         assert np.allclose((got[k].forecast, got[k].lo, got[k].hi), w[:3], rtol=1e-8) and (got[k].n_train, got[k].horizon) == (w[3], h)
+
+
+def test_range_at_all_levels_and_coefficients(spark):
+    from volframe.operators.evaluate import coefficients, walk_forward
+
+    rng = np.random.default_rng(1)
+    day = datetime.date(2021, 1, 4)
+    rows = [("A", day + datetime.timedelta(days=i), float(np.exp(rng.normal(-3, 0.5))), float(np.exp(rng.normal(-3, 0.4))) if i % 5 else 0.05) for i in range(400)]
+    frame = spark.createDataFrame(rows, "ticker string, date date, a double, y double")
+    levels = [0.05, 0.25, 0.5, 0.75, 0.95]
+    got = {r.date: r for r in walk_forward(frame, "y", 2, ["a"], least=100, levels=levels).collect()}
+    fits = {(r.month, r.term): (r.coefficient, r.n_train) for r in coefficients(frame, "y", 2, ["a"], least=100).collect()}
+    month = datetime.date(2022, 1, 1)
+    old = [r for i, r in enumerate(rows) if i + 2 < len(rows) and rows[i + 2][1] < month]
+    x, y = np.log([r[2] for r in old]), np.log([r[3] for r in old])
+    slope, const = np.polyfit(x, y, 1)
+    assert np.allclose([fits[month, "const"][0], fits[month, "a"][0]], [const, slope]) and fits[month, "a"][1] == len(old)
+    row = next(r for r in rows if r[1] == datetime.date(2022, 1, 10))
+    mid = const + slope * np.log(row[2])
+    assert np.allclose(got[row[1]].range, np.exp(mid + np.quantile(y - const - slope * x, levels)), rtol=1e-8)
+    assert walk_forward(frame.limit(0), "y", 2, ["a"]).count() == 0 == coefficients(frame.limit(0), "y", 2, ["a"]).count()

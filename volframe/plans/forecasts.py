@@ -46,7 +46,7 @@ _BOTH = f"{_HAR_SQL}, {walk_sql('w5', 'har', 'y_5', 5, _TERMS)}, {walk_sql('w21'
 
 def _har(spark, d):
     h = R.har_dataset(X.bars(spark, d))
-    both = [E.walk_forward(h, f"y_{n}", n, _TERMS) for n in (5, 21)]
+    both = [E.walk_forward(h, f"y_{n}", n, _TERMS).drop("range") for n in (5, 21)]
     return h, both[0].unionByName(both[1])
 
 
