@@ -37,10 +37,10 @@ def test_prices_of_expired_options(spark):
 
 
 def test_volatilities_come_back_and_impossible_prices_do_not():
-    from volframe.operators.surface import _black, _cdf, solve_iv
+    from volframe.operators.surface import _black, normal_cdf, solve_iv
 
     x = np.linspace(-9, 9, 181)
-    assert np.abs(_cdf(x) - np.array([0.5 * math.erfc(-v / math.sqrt(2)) for v in x])).max() < 1e-14
+    assert np.abs(normal_cdf(x) - np.array([0.5 * math.erfc(-v / math.sqrt(2)) for v in x])).max() < 1e-14
     k, s = (a.ravel() for a in np.meshgrid([60.0, 90.0, 100.0, 130.0], [0.05, 0.2, 1.5]))
     n = np.ones(len(k))
     for call in (True, False):
@@ -124,11 +124,12 @@ def test_validation_names_all_broken_rules(spark):
     got = [r.errors for r in Q.validate(rows, Q.rates_rules()).collect()]
     assert got == [[], ["rate"], ["date", "rate"]]
     assert {r.rule: r.failed for r in Q.violations(rows, Q.rates_rules()).collect()} == {"date": 1, "tenor_years": 0, "rate": 2}
-    grid = spark.createDataFrame([(0.0, 0.5, 0.2), (9.0, 0.0, -1.0)], "log_moneyness double, tenor double, implied_vol double")
-    assert [len(r.errors) for r in Q.validate(grid, Q.surface_grid_rules()).collect()] == [0, 3]
-    vix = spark.createDataFrame([(DAY, 20.0, None), (DAY, -1.0, 2.0)], "date date, vix double, skew double")
-    assert [r.valid for r in Q.validate(vix, Q.index_rules(vix.columns)).collect()] == [True, False]
-    assert "implied_volatility" in Q.normalised_chain_rules()
+    grid = spark.createDataFrame([(0.0, 0.5, 5.0, "call", 1.0), (None, 0.0, 5.1, "x", None), (9.0, 0.5, 0.0, "put", 1.0)], "log_moneyness double, T double, implied_volatility double, option_type string, strike double")
+    assert [len(r.errors) for r in Q.validate(grid, Q.surface_grid_rules()).collect()] == [0, 5, 1]
+    vix = spark.createDataFrame([(DAY, 20.0, None), (DAY, -1.0, 2.0), (DAY, 0.0, 2.0)], "date date, vix double, skew double")
+    assert [r.valid for r in Q.validate(vix, Q.index_rules(vix.columns)).collect()] == [True, False, True]
+    iv = spark.createDataFrame([(None,), (0.0,), (10.0,), (10.1,)], "implied_volatility double")
+    assert [r.valid for r in Q.validate(iv, {"iv": Q.normalised_chain_rules()["implied_volatility"]}).collect()] == [True, False, True, False]
 
 
 def test_window_ends_count_sessions(spark):

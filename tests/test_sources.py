@@ -79,5 +79,16 @@ def test_readers_say_what_is_missing(spark):
     odd = spark.createDataFrame([("A", DAY, "no json"), ("B", DAY, "{}"), ("C", DAY, None)], "ticker string, as_of date, payload string")
     assert delayed_quotes(odd).count() == 0
     quotes = lambda *bids: spark.createDataFrame([("A", DAY, float(b), b + 1.0) for b in bids], "ticker string, as_of date, bid double, ask double")
-    assert better_source(quotes(0, 1), quotes(2, 3)).count() == 2 and {r.bid for r in better_source(quotes(0, 1), quotes(2, 3)).collect()} == {2.0, 3.0}
-    assert {r.bid for r in better_source(quotes(4, 5), quotes(2, 3)).collect()} == {4.0, 5.0}
+    better = lambda a, b: {r.bid for r in better_source(quotes(*a), quotes(*b)).collect()}
+    assert better((0, 1), (2, 3)) == {2.0, 3.0} and better((4, 5), (2, 3)) == {4.0, 5.0} and better((), (2, 3)) == {2.0, 3.0}
+    assert better((0, 1), (0, 3)) == {0.0, 1.0}  # thin, but the other is no better
+    assert better((0, 4, 5), (6, 7, 8, 9)) == {0.0, 4.0, 5.0}  # two of three are two-sided: not thin, though the other has more
+
+
+def test_headers_in_any_spelling(spark):
+    from volframe.sources.vendors import header, resolved
+
+    assert [header(c) for c in ("[QUOTE_DATE]", " [C_IV] ", "(P_BID)", "expire-date", "Expire Date", "[ Strike ]")] == ["quote_date", "c_iv", "p_bid", "expire_date", "expire_date", "strike"]
+    names = ["[DATA_DATE]", "quote_date", "exp_date", "(Strike-Price)", "stock price", "impl_volatility_c", "best_bid_c", "call_open_interest"]
+    got = resolved(spark.createDataFrame([tuple("x" for _ in names)], names))
+    assert got == {"as_of": "quote_date", "expiration": "exp_date", "strike": "(Strike-Price)", "underlying_price": "stock price", "call_iv": "impl_volatility_c", "call_bid": "best_bid_c", "call_open_interest": "call_open_interest"}

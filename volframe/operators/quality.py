@@ -70,17 +70,19 @@ def raw_chain_rules(columns: Sequence[str] | None = None) -> dict[str, Column]:
 
 
 def normalised_chain_rules(columns: Sequence[str] | None = None) -> dict[str, Column]:
-    own = {"implied_volatility": F.col("implied_volatility").between(0, 10)}
-    return raw_chain_rules(columns) | own
+    """As raw_chain_rules, and a volatility column, null or above 0 and up to 10."""
+    return raw_chain_rules(columns) | {"implied_volatility": _known("implied_volatility", lambda x: (x > 0) & (x <= 10))}
 
 
 def surface_grid_rules() -> dict[str, Column]:
-    return {"log_moneyness": F.col("log_moneyness").between(-5, 5), "tenor": F.col("tenor") > 0, "implied_vol": (F.col("implied_vol") > 0) & (F.col("implied_vol") <= 10)}
+    """Rules of a grid in long form with a type and strike for each point; no value may be null."""
+    c = F.col
+    return {"log_moneyness": c("log_moneyness").isNotNull(), "T": c("T") > 0, "implied_volatility": (c("implied_volatility") > 0) & (c("implied_volatility") <= 5), "option_type": c("option_type").isin("call", "put"), "strike": c("strike") > 0}
 
 
 def index_rules(columns: Sequence[str]) -> dict[str, Column]:
-    """date must be there; each index is null or above 0."""
-    return {"date": F.col("date").isNotNull()} | {c: _known(c, lambda x: x > 0) for c in columns if c != "date"}
+    """date must be there; each index is null or not below 0."""
+    return {"date": F.col("date").isNotNull()} | {c: _known(c, lambda x: x >= 0) for c in columns if c != "date"}
 
 
 def rates_rules() -> dict[str, Column]:

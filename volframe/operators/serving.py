@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from volframe.operators import expiry as E
 from volframe.operators.features import TENORS_DAYS
+from volframe.operators.surface import implied_vol, otm_quotes
 from volframe.operators.timeseries import day_numbers
 
 # fixed values: deltas of the tenor and delta table, 0 being at the money
@@ -62,6 +63,34 @@ def smile_curves(slices: DataFrame, points: int = 121, pad: float = 0.02) -> Dat
     return s.select("ticker", "as_of", "expiration", F.round(F.col("T") * 365).cast("int").alias("days"), F.col("_i").alias("point"), "k", (100 * F.exp("k")).alias("moneyness"), iv.alias("iv"))
 
 
+def smile_quotes(chain: DataFrame, slices: DataFrame, rate: float = 0.05, least_off: float = 0.01) -> DataFrame:
+    """Out-of-the-money quotes beside the fit they went into: k, moneyness in percent, iv, bid_iv, ask_iv, half_spread, fit
+    (the smile's volatility at k), residual in points and used, all in volatility.
+
+    chain as for surface.otm_quotes, without discount: each quote is discounted as its expiry was, looked up in a map of the
+    surface's expiries by rounded tenor, so that parity gives the fit's own forward; a tenor that isn't there takes `rate`.
+    slices have T, expiration, discount and the shape. used tells quotes within the fit's own bounds from those off it; it
+    and the fit are null where no smile was fitted. Snapshots without a surface are there with nulls. One slice per tenor.
+    """
+    key = lambda t: F.round(t, 8)
+    entry = F.struct(key(F.col("T")).alias("key"), F.struct((-F.log("discount") / F.col("T")).alias("rate"), "expiration", *E.SHAPE).alias("value"))
+    by = slices.where(F.col("T") > 0).groupBy("ticker", "as_of").agg(F.map_from_entries(F.collect_list(entry)).alias("_expiries"))
+    at = F.try_element_at(F.col("_expiries"), key(F.col("T")))
+    rows = chain.drop("discount", "expiration").join(by, ["ticker", "as_of"], "left").withColumn("_s", at).drop("_expiries")
+    q = otm_quotes(rows.withColumn("discount", F.exp(-F.coalesce("_s.rate", F.lit(rate)) * F.col("T"))))
+    side = lambda c: implied_vol(c, "forward", "strike", "T", "discount", "is_call")
+    q = q.withColumns({"bid_iv": side("bid"), "ask_iv": side("ask")})
+    fit = F.sqrt(F.greatest(E.wing_variance(F.col("_s"), F.col("k")), F.lit(0.0)) / F.col("T"))
+    q = q.withColumn("fit", F.when(F.col("_s").isNotNull(), fit)).withColumn("_off", F.abs(F.col("sigma") - F.col("fit")))
+    w = Window.partitionBy("ticker", "as_of", "T")  # as many rows as an expiry has strikes
+    q = q.withColumn("_mid", F.median("_off").over(w)).withColumn("_mad", F.median(F.abs(F.col("_off") - F.col("_mid"))).over(w))
+    bound = F.greatest(4 * 1.4826 * F.col("_mad"), F.coalesce("spread_iv", F.lit(0.01)), F.lit(least_off))
+    return q.select(
+        "ticker", "as_of", "T", F.col("_s.expiration").alias("expiration"), "strike", "is_call", "forward", "k", (100 * F.exp("k")).alias("moneyness"), F.col("sigma").alias("iv"), "bid_iv", "ask_iv", (0.5 * F.col("spread_iv")).alias("half_spread"),
+        "fit", (100 * (F.col("sigma") - F.col("fit"))).alias("residual"), (F.col("_off") <= bound).alias("used"),
+    )
+
+
 def delta_markers(slices: DataFrame, deltas: Sequence[float] = (-0.25, 0.25)) -> DataFrame:
     """Moneyness in percent of the deltas at each expiry of a surface."""
     s = E.surfaces(slices).withColumn("_s", F.explode("slices")).withColumn("_b", E.bracket(F.col("slices"), F.col("_s.T")))

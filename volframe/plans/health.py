@@ -129,3 +129,33 @@ def vendor_payloads(spark, d):
     body = F.to_json(F.struct(F.struct(F.lit("SPX").alias("symbol"), (c % 3).cast("double").alias("current_price"), F.lit(7.0).alias("close"), F.array(option).alias("options")).alias("data")))
     out = V.delayed_quotes(o.select(F.col("o_orderkey").cast("string").alias("ticker"), day.alias("as_of"), body.alias("payload")))
     return out.select("ticker", "as_of", "expiration", "option_type", "strike", "bid", "ask", "mid", "implied_volatility_market", "underlying_price")
+
+
+_EDGES_SQL = f"""WITH {X.BARS_SQL}, {X.SLICES_SQL}, ed AS (SELECT *, (h + round(100 * "T")::INT) % 6 AS n FROM (SELECT s.*, dayofyear(as_of) AS h FROM slices s)),
+v AS (SELECT CASE n WHEN 0 THEN NULL WHEN 1 THEN 0 WHEN 2 THEN 10 WHEN 3 THEN 10.5 WHEN 4 THEN 5 ELSE 0.2 END::DOUBLE AS iv, CASE n WHEN 0 THEN NULL WHEN 1 THEN 0 WHEN 2 THEN -1 ELSE 20 END::DOUBLE AS vix, "T", spot FROM ed)"""
+
+
+@query(f"""{_EDGES_SQL}, c AS (SELECT count(*) AS n, count(*) FILTER (iv <= 0 OR iv > 10) AS a, count(*) FILTER (NOT coalesce(iv > 0 AND iv <= 5, false)) AS b, count(*) FILTER (vix < 0) AS c FROM v)
+SELECT unnest(['normalised chain', 'surface grid', 'index']) AS "table", unnest(['implied_volatility', 'implied_volatility', 'vix']) AS rule, n AS rows, unnest([a, b, c]) AS failed FROM c""")
+def rule_edges(spark, d):
+    """Values on the edges of the rules of chains, grids and indices: 0, null and the upper bounds."""
+    n = F.expr("(dayofyear(as_of) + cast(round(100 * T) as int)) % 6")
+    pick = lambda *v: F.get(F.array(*[F.lit(x).cast("double") for x in v]), n)
+    f = X.slices(spark, d).select("T", F.col("as_of").alias("date"), pick(None, 0, 10, 10.5, 5, 0.2).alias("implied_volatility"), pick(None, 0, -1, 20, 20, 20).alias("vix"))
+    rules = {("normalised chain", "implied_volatility"): Q.normalised_chain_rules()["implied_volatility"], ("surface grid", "implied_volatility"): Q.surface_grid_rules()["implied_volatility"], ("index", "vix"): Q.index_rules(["date", "vix"])["vix"]}
+    out = Q.violations(f, {f"{t}/{c}": rule for (t, c), rule in rules.items()})
+    return out.select(F.split("rule", "/")[0].alias("table"), F.split("rule", "/")[1].alias("rule"), "rows", "failed")
+
+
+@query(f"""{_FLAWED}, f1 AS (SELECT ticker, as_of, CASE WHEN month(as_of) % 2 = 0 AND open_interest < 25 THEN 0 ELSE bid END AS bid, ask FROM flawed WHERE month(as_of) <> 5), f2 AS (SELECT ticker, as_of, bid, ask FROM flawed WHERE month(as_of) % 4 <> 0),
+a AS (SELECT ticker, as_of, count(*) AS n, count(*) FILTER (bid > 0 AND ask > 0) AS two FROM f1 GROUP BY 1, 2), b AS (SELECT ticker, as_of, count(*) AS n, count(*) FILTER (bid > 0 AND ask > 0) AS two FROM f2 GROUP BY 1, 2)
+SELECT ticker, as_of, CASE WHEN coalesce(a.two >= 0.6 * a.n, false) OR coalesce(b.two, 0) <= coalesce(a.two, 0) THEN 'first' ELSE 'second' END AS source, CASE WHEN coalesce(a.two >= 0.6 * a.n, false) OR coalesce(b.two, 0) <= coalesce(a.two, 0) THEN a.n ELSE b.n END AS rows FROM a FULL JOIN b USING (ticker, as_of)""")
+def chosen_source(spark, d):
+    """Of two vendors' chains the first, unless it is empty or thin and the second has more two-sided quotes."""
+    from volframe.sources.vendors import better_source
+
+    c = X.flawed_chain(spark, d).select("ticker", "as_of", "bid", "ask", "open_interest")
+    thin = (F.month("as_of") % 2 == 0) & (F.col("open_interest") < 25)
+    first = c.where(F.month("as_of") != 5).withColumn("bid", F.when(thin, 0.0).otherwise(F.col("bid"))).withColumn("source", F.lit("first"))
+    second = c.where(F.month("as_of") % 4 != 0).withColumn("source", F.lit("second"))
+    return better_source(first, second).groupBy("ticker", "as_of", "source").agg(F.count("*").alias("rows"))

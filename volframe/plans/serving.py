@@ -10,8 +10,8 @@ from volframe.operators import evaluate as E
 from volframe.operators import expiry as Y
 from volframe.operators import realized as R
 from volframe.operators import serving as V
-from volframe.plans.registry import _FEATURES_SQL, query, r, rounded
-from volframe.plans.surfaces import _SLICES
+from volframe.plans.registry import _FEATURES_SQL, _OTM_SQL, query, r, rounded
+from volframe.plans.surfaces import _SLICES, _strikes_sql
 from volframe.sources import fixtures as X
 
 _AS_OF = "1997-06-30"
@@ -132,3 +132,43 @@ def composite_signal(spark, d):
     x = x.withColumns({"_s": B.z_signal(F.col("skew"), w), "_t": B.term_shape(F.col("vix9d"), F.col("vix"), F.col("vix3m")), "_r": E.regime(F.col("vix")), "_z": rolling_z(F.col("vix"), w, 2)})
     name, sure = B.composite_signal(F.col("_s"), F.col("_t"), F.col("_r"), F.col("_z"))
     return x.select("date", name.alias("signal"), r(sure).alias("confidence"))
+
+
+@query(f"""{_OTM_SQL}, {X.SLICES_SQL.strip()}, jq AS (SELECT o.*, s.expiration, CASE WHEN s.a IS NOT NULL THEN sqrt(greatest({X.wing_sql('s', 'o.k')}, 0) / s."T") END AS fit, 0.04 / (forward * exp(-pow(ln(forward / strike) / (iv * sqrt(o."T")) + iv * sqrt(o."T") / 2, 2) / 2) / sqrt(2 * pi()) * sqrt(o."T") * discount)
+ * (discount * CASE WHEN option_type = 'call' THEN forward * {X.ncdf_sql('z')} - strike * {X.ncdf_sql('zc')} ELSE strike * {X.ncdf_sql('zp')} - forward * {X.ncdf_sql('y')} END) AS spread
+ FROM (SELECT *, z - iv * sqrt("T") AS zc, iv * sqrt("T") - z AS zp FROM (SELECT oz.* FROM oz JOIN otm USING (ticker, as_of, "T", strike, option_type))) o LEFT JOIN (SELECT ticker, as_of, "T", a, b, rho, m, sigma, k_min, k_max, expiration, forward AS f0 FROM slices) s ON s.ticker = o.ticker AND s.as_of = o.as_of AND round(s."T", 8) = round(o."T", 8)),
+md AS (SELECT *, abs(iv - fit) AS off, median(abs(iv - fit)) OVER (PARTITION BY ticker, as_of, "T") AS mid FROM jq), ma AS (SELECT *, median(abs(off - mid)) OVER (PARTITION BY ticker, as_of, "T") AS mad FROM md)
+SELECT ticker, as_of, round("T", 6) AS "T", expiration, round(strike, 6) AS strike, option_type = 'call' AS is_call, round(k, 6) AS k, round(100 * exp(k), 5) AS moneyness, round(iv, 6) AS iv, round(fit, 6) AS fit, round(100 * (iv - fit), 4) AS residual, round(spread / 2, 6) AS half_spread,
+ off <= greatest(4 * 1.4826 * mad, spread, 0.01) AS used, true AS ordered FROM ma""")
+def smile_quotes(spark, d):
+    """Quotes of the chain beside smiles by formula; the first tenor has no smile and takes the default rate."""
+    s = X.slices(spark, d).withColumn("discount", F.exp(-0.04 * F.col("T")))
+    q = V.smile_quotes(X.chain(spark, d), s, rate=0.04)
+    ordered = (F.col("bid_iv") < F.col("iv")) & (F.col("iv") < F.col("ask_iv"))
+    return q.select("ticker", "as_of", r("T").alias("T"), "expiration", r("strike").alias("strike"), "is_call", r("k").alias("k"), r("moneyness", 5).alias("moneyness"), r("iv").alias("iv"), r("fit").alias("fit"), r("residual", 4).alias("residual"), r("half_spread").alias("half_spread"), "used", ordered.alias("ordered"))
+
+
+@query(f"""{_SLICES}, {_strikes_sql([f'{n}.0/365' for n in (7, 14, 30, 60, 91, 182, 365)])}, cl AS (SELECT br.ticker, br.as_of, br.tau, name, coalesce(ds.k, 0) AS k, br.l, br.h, br.x, inside, in_t, qlo, qhi FROM br LEFT JOIN ds USING (ticker, as_of, tau)
+ UNION ALL SELECT ticker, as_of, tau, 'atm', 0.0, l, h, x, inside, in_t, qlo, qhi FROM br), cv AS (SELECT ticker, as_of, tau, name, CASE WHEN inside AND in_t AND k >= qlo AND k <= qhi THEN sqrt({X.variance_sql('k')} / tau) END AS v FROM cl)
+SELECT ticker, as_of, CASE WHEN round(tau * 365) = 182 THEN '182d' ELSE round(tau * 365)::INT || 'd' END AS tenor, round(max(v) FILTER (name = 'p10'), 6) AS p10, round(max(v) FILTER (name = 'p25'), 6) AS p25, round(max(v) FILTER (name = 'atm'), 6) AS atm, round(max(v) FILTER (name = 'c25'), 6) AS c25, round(max(v) FILTER (name = 'c10'), 6) AS c10 FROM cv GROUP BY ticker, as_of, tau""")
+def delta_tenor_table(spark, d):
+    """Volatility by tenor and delta, null where nothing is quoted."""
+    t = V.delta_tenor_table(X.slices(spark, d))
+    names = {"10P": "p10", "25P": "p25", "ATM": "atm", "25C": "c25", "10C": "c10"}
+    return t.select("ticker", "as_of", "tenor", *[r(a).alias(b) for a, b in names.items()])
+
+
+@query(f"""{_SLICES}, {_strikes_sql([str(t) for t in X.SLICE_TENORS])} SELECT ds.ticker, ds.as_of, e.expiration, round(100 * exp(max(ds.k) FILTER (name = 'p25')), 4) AS put_25, round(100 * exp(max(ds.k) FILTER (name = 'c25')), 4) AS call_25
+FROM ds JOIN slices e ON e.ticker = ds.ticker AND e.as_of = ds.as_of AND e."T" = ds.tau GROUP BY ds.ticker, ds.as_of, e.expiration""")
+def delta_markers(spark, d):
+    """Moneyness of the 25-delta put and call at each expiry."""
+    m = V.delta_markers(X.slices(spark, d))
+    return m.select("ticker", "as_of", "expiration", r("put_25", 4).alias("put_25"), r("call_25", 4).alias("call_25"))
+
+
+@query(_FEATURES_SQL + f" SELECT ticker, date, round(rv_cc_21d, 6) AS rv_cc_21d FROM f WHERE ticker = 'ASIA' AND date BETWEEN DATE '1996-01-01' AND (SELECT max(date) FROM f WHERE ticker = 'ASIA' AND date <= DATE '{_AS_OF}')")
+def ticker_history(spark, d):
+    """One ticker's features up to its last date on or before a day."""
+    f = R.realized_features(X.bars(spark, d))
+    rows = V.history(f, "ASIA", "1996-01-01").join(V.on_or_before(f, F.lit(_AS_OF).cast("date")).select("ticker", F.col("date").alias("_last")), "ticker")
+    return rows.where(F.col("date") <= F.col("_last")).select("ticker", "date", r("rv_cc_21d").alias("rv_cc_21d"))

@@ -108,6 +108,7 @@ def chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Option chain with a known smile on the first session of each month: 5 tenors, 22 strikes, calls and puts."""
     w = Window.partitionBy("ticker", F.date_trunc("month", "date")).orderBy("date")
     spots = bars(spark, sf_dir).withColumn("n", F.row_number().over(w)).where("n = 1").select("ticker", F.col("date").alias("as_of"), F.col("close").alias("spot"))
+    spots = spots.repartition(spark.sparkContext.defaultParallelism, "ticker", "as_of")  # few rows, each of which becomes 220 to be priced
     q = spots.withColumn("T", F.explode(F.array(*map(F.lit, TENORS)))).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(STRIKES - 1)))).withColumn("option_type", F.explode(F.array(F.lit("call"), F.lit("put"))))
     q = q.withColumn("k", -0.35 + F.col("i") * 0.53 / (STRIKES - 1)).withColumn("forward", F.col("spot") * F.exp(0.02 * F.col("T"))).withColumn("discount", F.exp(-0.04 * F.col("T")))
     q = q.withColumn("strike", F.col("forward") * F.exp("k")).withColumn("expiration", F.expr("date_add(as_of, cast(round(T * 365) as int))"))

@@ -2,30 +2,39 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from volframe.functions.pricing import occ_symbol
 
-# fixed values: names under which vendors give a column, without brackets, in lower case
+# fixed values: names under which vendors give a column (see header), those that come first win
 NAMES = {
-    "as_of": ("quote_date", "date", "quotedate", "trade_date"),
-    "expiration": ("expire_date", "expiration", "expiry", "expiration_date"),
+    "as_of": ("date", "quote_date", "data_date", "trade_date", "as_of", "quotedate"),
+    "expiration": ("expiration", "expire_date", "expiry", "expiration_date", "exp_date"),
     "strike": ("strike", "strike_price"),
-    "option_type": ("option_type", "type", "cp_flag", "call_put"),
-    "implied_volatility": ("implied_volatility", "iv", "implied_vol"),
-    "underlying_price": ("underlying_last", "underlying_price", "spot", "close"),
+    "option_type": ("option_type", "cp_flag", "type", "call_put"),
+    "implied_volatility": ("implied_volatility", "iv", "impl_volatility", "implied_vol"),
+    "underlying_price": ("underlying_price", "stock_price", "spot", "close", "underlying_last", "active_underlying_price"),
     "bid": ("bid",), "ask": ("ask",), "volume": ("volume",), "open_interest": ("open_interest", "oi"),
-    "call_iv": ("c_iv", "call_iv"), "put_iv": ("p_iv", "put_iv"), "call_bid": ("c_bid", "call_bid"), "put_bid": ("p_bid", "put_bid"),
-    "call_ask": ("c_ask", "call_ask"), "put_ask": ("p_ask", "put_ask"), "call_volume": ("c_volume", "call_volume"), "put_volume": ("p_volume", "put_volume"),
-    "call_open_interest": ("c_oi", "call_oi"), "put_open_interest": ("p_oi", "put_oi"),
+    "call_iv": ("call_iv", "c_iv", "call_implied_volatility", "impl_volatility_c"), "put_iv": ("put_iv", "p_iv", "put_implied_volatility", "impl_volatility_p"),
+    "call_bid": ("call_bid", "c_bid", "best_bid_c", "bid_c"), "put_bid": ("put_bid", "p_bid", "best_bid_p", "bid_p"),
+    "call_ask": ("call_ask", "c_ask", "best_offer_c", "ask_c"), "put_ask": ("put_ask", "p_ask", "best_offer_p", "ask_p"),
+    "call_volume": ("call_volume", "c_volume", "volume_c"), "put_volume": ("put_volume", "p_volume", "volume_p"),
+    "call_open_interest": ("call_open_interest", "c_oi", "open_interest_c", "call_oi"), "put_open_interest": ("put_open_interest", "p_oi", "open_interest_p", "put_oi"),
 }
 NUMBERS = ("strike", "bid", "ask", "volume", "open_interest", "implied_volatility_market", "underlying_price")
 
 
+def header(name: str) -> str:
+    """A column name without brackets and parentheses, in lower case, words joined by underscores."""
+    return re.sub("[ -]", "_", re.sub(r"[\[\]()]", "", name.strip().lower()).strip())
+
+
 def resolved(raw: DataFrame) -> dict[str, str]:
-    """Our name -> the vendor's column, the first of NAMES that is there; brackets, blanks and case don't matter."""
-    have = {c.strip().strip("[]").strip().lower().replace(" ", "_"): c for c in raw.columns}
+    """Our name -> the vendor's column, the first of NAMES that is there, whatever its spelling (see header)."""
+    have = {header(c): c for c in raw.columns}
     return {ours: have[n] for ours, names in NAMES.items() for n in [next((x for x in names if x in have), None)] if n}
 
 
@@ -113,10 +122,17 @@ def two_sided(chain: DataFrame, keys=("ticker", "as_of")) -> DataFrame:
     return chain.groupBy(*keys).agg(F.count_if((F.col("bid") > 0) & (F.col("ask") > 0)).alias("two_sided"))
 
 
-def better_source(first: DataFrame, second: DataFrame, keys=("ticker", "as_of")) -> DataFrame:
-    """Per snapshot the rows of the first source, or those of the second where it has more two-sided contracts."""
+# fixed value: below this share of two-sided contracts a chain counts as thin
+THIN = 0.6
+
+
+def better_source(first: DataFrame, second: DataFrame, keys=("ticker", "as_of"), thin: float = THIN) -> DataFrame:
+    """Per snapshot the rows of the first source; those of the second where the first has none, or less than `thin` of its
+    contracts two-sided, and the second has more two-sided ones. Nulls in the keys match nothing."""
     columns = [c for c in first.columns if c in second.columns]
-    a, b = two_sided(first, keys).withColumnRenamed("two_sided", "a"), two_sided(second, keys).withColumnRenamed("two_sided", "b")
-    pick = a.join(b, list(keys), "full_outer").select(*keys, (F.coalesce("b", F.lit(-1)) > F.coalesce("a", F.lit(-1))).alias("_second"))
+    size = first.groupBy(*keys).agg(F.count("*").alias("rows"))
+    a, b = two_sided(first, keys).join(size, list(keys)).withColumnRenamed("two_sided", "a"), two_sided(second, keys).withColumnRenamed("two_sided", "b")
+    healthy = F.coalesce(F.col("a") >= thin * F.col("rows"), F.lit(False))
+    pick = a.join(b, list(keys), "full_outer").select(*keys, (~healthy & (F.coalesce("b", F.lit(0)) > F.coalesce("a", F.lit(0)))).alias("_second"))
     both = first.select(*columns, F.lit(False).alias("_own")).unionByName(second.select(*columns, F.lit(True).alias("_own")))
     return both.join(pick, list(keys)).where(F.col("_own") == F.col("_second")).select(*columns)
