@@ -159,3 +159,31 @@ def chosen_source(spark, d):
     first = c.where(F.month("as_of") != 5).withColumn("bid", F.when(thin, 0.0).otherwise(F.col("bid"))).withColumn("source", F.lit("first"))
     second = c.where(F.month("as_of") % 4 != 0).withColumn("source", F.lit("second"))
     return better_source(first, second).groupBy("ticker", "as_of", "source").agg(F.count("*").alias("rows"))
+
+
+@query(f"""WITH {X.BARS_SQL}, {X.IDX_SQL}, {X.RATES_SQL}, {X.MACRO_SQL}, b AS (SELECT count(*) AS n, min(date) AS a, max(date) AS z FROM bars), i AS (SELECT count(*) AS n, min(date) AS a, max(date) AS z, avg((vix IS NOT NULL)::INT) AS f FROM wide WHERE date < (SELECT z - 40 FROM b)),
+r AS (SELECT count(*) AS n, min(date) AS a, max(date) AS z, min(rate) AS lo, max(rate) AS hi FROM rates), m AS (SELECT count(*) AS n, min(mdate) AS a, max(mdate) AS z FROM macro WHERE mdate < (SELECT min(mdate) + 21 FROM macro)),
+late AS (SELECT count(*) AS k FROM (SELECT unnest(generate_series((SELECT z + 1 FROM i), (SELECT z FROM b), INTERVAL 1 DAY))::DATE AS day) WHERE isodow(day) <= 5)
+SELECT * FROM (VALUES ('tables', 'prices', true), ('tables', 'indices', NULL), ('tables', 'rates', NULL), ('tables', 'thin', false), ('tables', 'absent', false), ('tables', 'broken', false), ('run', 'run', false), ('freshness', 'freshness', NULL)) v(section, "check", ok0)
+JOIN (SELECT 'prices' AS c, n AS rows, a AS first, z AS last, NULL::DOUBLE AS figure, true AS ok FROM b UNION ALL SELECT 'indices', n, a, z, round(f, 6), (SELECT k FROM late) <= 1 FROM i UNION ALL SELECT 'rates', n, a, z, round(hi, 6), lo >= -0.05 AND hi <= 0.3 FROM r
+ UNION ALL SELECT 'thin', n, a, z, NULL, false FROM m UNION ALL SELECT 'absent', NULL, NULL, NULL, NULL, false UNION ALL SELECT 'broken', NULL, NULL, NULL, NULL, false UNION ALL SELECT 'run', NULL, NULL, NULL, NULL, false
+ UNION ALL SELECT 'freshness', NULL, NULL, NULL, NULL, (SELECT count(*) FROM (SELECT ticker, max(date) AS l FROM bars GROUP BY 1) WHERE (SELECT count(*) FROM (SELECT unnest(generate_series(l + 1, (SELECT z FROM b), INTERVAL 1 DAY))::DATE AS day) WHERE isodow(day) <= 5) > 0) = 0) x ON x.c = v."check" """.replace("SELECT * FROM (VALUES", "SELECT section, \"check\", rows, first, last, figure, ok FROM (VALUES"))
+def health_report(spark, d):
+    """Tables of different shape, one stale, one thin, one absent and one broken, beside a run and a check of freshness."""
+    from volframe.operators import health as H
+
+    bars, wide = X.bars(spark, d), X.index_wide(spark, d)
+    last = bars.agg(F.max("date")).first()[0]
+    macro, day = X.macro(spark, d), F.lit(last).cast("date")
+    start = macro.agg(F.min("date")).first()[0]
+    tables = [
+        H.Table("prices", lambda: bars),
+        H.Table("indices", lambda: wide.where(F.col("date") < F.date_sub(day, 40)), figures={"share": F.avg(F.col("vix").isNotNull().cast("double"))}, reaches="prices", most_behind=1),
+        H.Table("rates", lambda: X.rates(spark, d), figures={"lo": F.min("rate"), "hi": F.max("rate")}, least={"lo": -0.05}, most={"hi": 0.3}, reaches="prices", most_behind=9999),
+        H.Table("thin", lambda: macro.where(F.col("date") < F.date_add(F.lit(start), 21)), least_rows=20, reaches="prices", most_behind=9999),
+        H.Table("absent", lambda: spark.read.parquet(f"{d}/nowhere.parquet")),
+        H.Table("broken", lambda: bars.withColumn("date", F.when(F.col("close") > 0, F.raise_error(F.lit("damaged"))).otherwise(F.col("date")))),
+    ]
+    fresh = lambda: H.as_report("freshness", Q.check_freshness(bars.select("ticker", "date"), X.sessions(spark, d), bars.select("ticker").distinct()), "check", "ok", "problems")
+    rows = H.report(H.table_checks(spark, tables, last), H.run_check(spark, ["Market closed today", "no quotes for ASIA"]), H.guarded(spark, "freshness", fresh))
+    return rows.select("section", "check", "rows", "first", "last", r(F.coalesce(F.try_element_at("figures", F.lit("share")), F.try_element_at("figures", F.lit("hi")))).alias("figure"), "ok")
