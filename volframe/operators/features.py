@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,7 +16,10 @@ TENORS_DAYS = {"7d": 7, "14d": 14, "30d": 30, "60d": 60, "91d": 91, "182d": 182,
 SMILE_TENORS = ("30d", "91d")
 DELTAS = {"p10": -0.10, "p25": -0.25, "c25": 0.25, "c10": 0.10}
 DYNAMIC_COLUMNS = ["atm_30d", "atm_91d", "vs_30d", "rr25_30d", "bf25_30d", "ts_7_30", "ts_30_91", "vrp_30d"]
-MARKET_COLUMNS = {"vix": "mkt_vix", "vix3m": "mkt_vix3m", "vix9d": "mkt_vix9d", "vvix": "mkt_vvix", "skew": "mkt_skew"}
+# ... indices by their name in lower case, macro series with the days from observation to publication, version of the table
+MARKET_COLUMNS = {c: f"mkt_{c}" for c in ("vix", "vix3m", "vix9d", "vix1d", "vvix", "skew", "vxn", "vxd", "ovx", "gvz", "move")}
+MACRO_LAGS = {"HY_OAS": 1, "IG_OAS": 1, "USD_BROAD": 1, "BREAKEVEN_10Y": 1, "REAL_YIELD_10Y": 1, "STLFSI": 6, "NFCI": 5}
+FEATURE_VERSION = "features/2"
 STEP = 0.01
 
 
@@ -91,21 +94,40 @@ def add_dynamics(table: DataFrame, sessions: DataFrame, columns: Sequence[str],
     return f.withColumns(out).drop("seq", *[f"_{c}{n}" for c in columns for n in (1, 5)])
 
 
-def feature_table(surface: DataFrame, prices: DataFrame, market: DataFrame, macro: DataFrame, earnings: DataFrame | None, sessions: DataFrame, dynamics: Sequence[str] = DYNAMIC_COLUMNS) -> DataFrame:
+def published(history: DataFrame, lags: Mapping[str, int] = MACRO_LAGS) -> DataFrame:
+    """history(date, a column for each series) by day of publication: published and macro_<series>, null where none is due.
+
+    Each series comes out its own number of days after the date it is for. Series that history lacks are left out; nulls
+    are no observation; of repeated dates the largest value counts.
+    """
+    have = [n for n in lags if n in history.columns]
+    due = F.array(*[F.struct(F.date_add("date", lags[n]).alias("published"), F.lit(n).alias("series"), F.col(n).cast("double").alias("value")) for n in have])
+    rows = history.where(F.col("date").isNotNull()).select(F.explode(due).alias("x")).select("x.*").where("value is not null")
+    return rows.groupBy("published").agg(*[F.max(F.when(F.col("series") == n, F.col("value"))).alias(f"macro_{n.lower()}") for n in have])
+
+
+def available_asof(days: DataFrame, history: DataFrame, lags: Mapping[str, int] = MACRO_LAGS, on: str = "date") -> DataFrame:
+    """days with macro_<series>: of each series the last value that was public on the day; all series in one search."""
+    p = published(history, lags)
+    return asof_join(days, p, on, "published", values=[c for c in p.columns if c != "published"])
+
+
+def feature_table(surface: DataFrame, prices: DataFrame, market: DataFrame, macro: DataFrame, earnings: DataFrame | None, sessions: DataFrame, dynamics: Sequence[str] = DYNAMIC_COLUMNS, version: str = FEATURE_VERSION) -> DataFrame:
     """Surface features (ticker, date, spot, ...) with realised volatility, premia, indices, macro as published, earnings.
 
-    Closes missing from prices come from the snapshots' spots. market(date, vix, ...) joins by date, macro(published, value)
-    as last published, earnings(ticker, date, ...) by key. Every join is by (ticker, date) or by date.
+    Closes missing from prices come from the snapshots' spots. market(date, vix, ...) joins by date, those of MARKET_COLUMNS
+    that it has; macro(published, a column for each series; see published()) as last published; earnings(ticker, date, ...)
+    by key. Every join is by (ticker, date) or by date. feature_version names the version, builder stays if surface has it.
     """
     real = realized_features(fill_closes(prices, surface.select("ticker", "date", "spot")))
     real = real.select("ticker", "date", "ret_1d", "ret_5d", "ret_21d", "rv_cc_10d", "rv_cc_21d", "rv_cc_63d", "rv_yz_21d")
-    f = asof_join(surface, macro.select("published", F.col("value").alias("macro")), "date", "published", values=["macro"])  # before the joins, as it reads its left side twice
+    f = asof_join(surface, macro, "date", "published", values=[c for c in macro.columns if c != "published"])  # before the joins, as it reads its left side twice
     f = f.join(real, ["ticker", "date"], "left")
     f = f.withColumn("vrp_30d", F.col("atm_30d") - F.col("rv_cc_21d")).withColumn("vrp_var_30d", F.col("vs_30d") ** 2 - F.col("rv_cc_21d") ** 2)
     f = f.join(market.select("date", *[F.col(a).alias(b) for a, b in MARKET_COLUMNS.items() if a in market.columns]), "date", "left")
     if earnings is not None:
         f = f.join(earnings, ["ticker", "date"], "left")
-    return add_dynamics(f, sessions, dynamics)
+    return add_dynamics(f, sessions, dynamics).withColumn("feature_version", F.lit(version))
 
 
 def training_frame(table: DataFrame, labels: DataFrame, features: Sequence[str], label: str) -> DataFrame:

@@ -95,6 +95,27 @@ ft AS (SELECT mc.ticker, mc.as_of AS date, atm_30d, vs_30d, rr25_30d, rv_cc_21d,
  sqrt(CASE WHEN t1 <= 0.30 AND e2 > 0 THEN e2 END) AS earn_implied_move, sqrt(hist_var) AS earn_hist_move
  FROM mc LEFT JOIN f ON f.ticker = mc.ticker AND f.date = mc.as_of LEFT JOIN wide ON wide.date = mc.as_of LEFT JOIN nx ON nx.ticker = mc.ticker AND nx.as_of = mc.as_of LEFT JOIN iv_e ON iv_e.ticker = mc.ticker AND iv_e.as_of = mc.as_of LEFT JOIN hv ON hv.ticker = mc.ticker AND hv.date = mc.as_of
  LEFT JOIN dn p0 ON p0.day = mc.as_of LEFT JOIN dn pn ON pn.day = nxt LEFT JOIN dn pl ON pl.day = lst)"""
+_MACRO_NAMES = [f"macro_{c.lower()}" for c in X.MACRO_SERIES]
+_MORE_NAMES = [f"mkt_{c}" for c in X.MORE_INDICES]
+
+
+def _context_sql(name: str, source: str, date: str) -> str:
+    """CTEs up to `name`: rows of source with the further indices and each macro series as last published."""
+    steps, last = [], source
+    for c in X.MACRO_SERIES:
+        steps.append(f"{name}_{c.lower()} AS (SELECT x.*, m.value AS macro_{c.lower()} FROM {last} x ASOF LEFT JOIN mw_{c.lower()} m ON x.{date} >= m.published)")
+        last = f"{name}_{c.lower()}"
+    return f"{X.macro_wide_sql(A.MACRO_LAGS)}, {X.MORE_SQL}, {', '.join(steps)}, {name} AS (SELECT x.*, {', '.join(f'more.{c} AS mkt_{c}' for c in X.MORE_INDICES)} FROM {last} x LEFT JOIN more ON more.date = x.{date})"
+
+
+@query(f"WITH {X.BARS_SQL}, dd AS (SELECT DISTINCT date FROM bars), {_context_sql('ct', 'dd', 'date')} SELECT date, {', '.join(f'round({c}, 9) AS {c}' for c in (*_MORE_NAMES, *_MACRO_NAMES))} FROM ct")
+def market_context(spark, d):
+    """Further indices and seven macro series on each date, the latter as they were public by then."""
+    days = A.available_asof(X.bars(spark, d).select("date").distinct(), X.macro_wide(spark, d))
+    f = days.join(X.market_more(spark, d).select("date", *[F.col(c).alias(A.MARKET_COLUMNS[c]) for c in X.MORE_INDICES]), "date", "left")
+    return f.select("date", *[r(c, 9).alias(c) for c in (*_MORE_NAMES, *_MACRO_NAMES)])
+
+
 _TABLE = ["atm_30d", "vs_30d", "rr25_30d", "rv_cc_21d", "rv_yz_21d", "vrp_30d", "vrp_var_30d", "earn_implied_move", "earn_hist_move"]
 _GIVEN = ["mkt_vix", "mkt_skew", "macro"]  # means of decimals: nine digits, as six would meet ties
 
@@ -104,13 +125,15 @@ def _feature_table(spark, d):
     surface = A.surface_features(slices, spot="spot").withColumnRenamed("as_of", "date").persist()  # dynamics join it with itself
     term = A.atm_term(slices).withColumnRenamed("as_of", "date")
     earnings = A.earnings_features(term, events, number, closes=X.bars(spark, d).select("ticker", "date", "close"))
-    return A.feature_table(surface, X.bars(spark, d), X.index_wide(spark, d), X.macro(spark, d), earnings, X.sessions(spark, d), ["atm_30d"])
+    market = X.index_wide(spark, d).join(X.market_more(spark, d), "date", "full_outer")
+    macro = X.macro(spark, d).select("published", F.col("value").alias("macro")).join(A.published(X.macro_wide(spark, d)), "published", "full_outer")
+    return A.feature_table(surface, X.bars(spark, d), market, macro, earnings, X.sessions(spark, d), ["atm_30d"])
 
 
-@query(f"{_TABLE_SQL} SELECT ticker, date, {', '.join(f'round({c}, 6) AS {c}' for c in _TABLE)}, {', '.join(f'round({c}, 9) AS {c}' for c in _GIVEN)}, earn_next_date, earn_days_to, earn_days_since FROM ft")
+@query(f"{_TABLE_SQL}, {_context_sql('fu', 'ft', 'date')} SELECT ticker, date, {', '.join(f'round({c}, 6) AS {c}' for c in _TABLE)}, {', '.join(f'round({c}, 9) AS {c}' for c in (*_GIVEN, *_MORE_NAMES, *_MACRO_NAMES))}, earn_next_date, earn_days_to, earn_days_since, '{A.FEATURE_VERSION}' AS feature_version FROM fu")
 def feature_table(spark, d):
     """Surface, realised, market, macro and earnings columns of each snapshot in one table."""
-    return _feature_table(spark, d).select("ticker", "date", *[r(c).alias(c) for c in _TABLE], *[r(c, 9).alias(c) for c in _GIVEN], "earn_next_date", "earn_days_to", "earn_days_since")
+    return _feature_table(spark, d).select("ticker", "date", *[r(c).alias(c) for c in _TABLE], *[r(c, 9).alias(c) for c in (*_GIVEN, *_MORE_NAMES, *_MACRO_NAMES)], "earn_next_date", "earn_days_to", "earn_days_since", "feature_version")
 
 
 _LABELS_SQL = """lb AS (SELECT ticker, date, CASE WHEN count(r1) OVER w = 21 THEN sqrt(252.0 / 21 * sum(r1 * r1) OVER w) END AS label_rv_21 FROM ret WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN 1 FOLLOWING AND 21 FOLLOWING))"""

@@ -80,6 +80,32 @@ MACRO_SQL = """
 macro AS (SELECT (date_trunc('week', o_orderdate)::DATE + 4) AS mdate, avg(o_totalprice) / 1000 AS value, (date_trunc('week', o_orderdate)::DATE + 9) AS published FROM orders GROUP BY 1, 3)"""
 
 
+MORE_INDICES = ("vix1d", "vxn", "vxd", "ovx", "gvz", "move")
+
+
+def market_more(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six further indices by date, with gaps."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("date"), (F.col("o_orderkey") % 6).alias("n"), "o_totalprice")
+    return o.groupBy("date").agg(*[(F.avg(F.when(F.col("n") == i, F.col("o_totalprice"))) / 10000).alias(c) for i, c in enumerate(MORE_INDICES)])
+
+
+MORE_SQL = "more AS (SELECT o_orderdate::DATE AS date, " + ", ".join(f"avg(o_totalprice) FILTER (o_orderkey % 6 = {i}) / 10000 AS {c}" for i, c in enumerate(MORE_INDICES)) + " FROM orders GROUP BY 1)"
+MACRO_SERIES = ("HY_OAS", "IG_OAS", "USD_BROAD", "BREAKEVEN_10Y", "REAL_YIELD_10Y", "STLFSI", "NFCI")
+
+
+def macro_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seven macro series by the date they are for: daily ones with gaps, the last two on Fridays."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("date"), (F.col("o_custkey") % 7).alias("n"), "o_totalprice")
+    value = lambda i: F.when(F.lit(i < 5) | (F.weekday("date") == 4), F.avg(F.when(F.col("n") == i, F.col("o_totalprice"))) / 1000)
+    return o.groupBy("date").agg(*[value(i).alias(c) for i, c in enumerate(MACRO_SERIES)])
+
+
+def macro_wide_sql(lags: dict[str, int]) -> str:
+    """CTEs mw_<series>(published, value), a series each."""
+    one = lambda i, c: f"mw_{c.lower()} AS (SELECT o_orderdate::DATE + {lags[c]} AS published, avg(o_totalprice) / 1000 AS value FROM orders WHERE o_custkey % 7 = {i}" + (" AND isodow(o_orderdate) = 5" if i >= 5 else "") + " GROUP BY 1)"
+    return ", ".join(one(i, c) for i, c in enumerate(MACRO_SERIES))
+
+
 def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """date, tenor_years, rate: three tenors from order status, 0 to 10 %."""
     years = F.when(F.col("o_orderstatus") == "F", 0.25).when(F.col("o_orderstatus") == "O", 1.0).otherwise(10.0)
