@@ -34,7 +34,7 @@ SECTIONS = {
 }
 EARNINGS = {"trading_days_until": ("earn_days_to", 1, 0), "implied_move_pct": ("earn_implied_move", 100, 2), "historical_average_move_pct": ("earn_hist_move", 100, 2)}
 PEER = {"atm_30d_pct": ("atm_30d", 100, 2), "atm_30d_percentile": ("atm_30d_pct252", 100, 0), "risk_reversal_25d_30d_pts": ("rr25_30d", 100, 2), "variance_risk_premium_30d_pts": ("vrp_30d", 100, 2)}
-NOTE = "Percentiles rank today within the trailing 252 trading days, or within all available history when shorter (%d days here)."
+NOTE = "A percentile compares the day with the 252 sessions up to it; there are %d days of history, and fewer than 252 are all compared."
 
 
 def number(x: Column, factor: float = 1, digits: int = 2) -> Column:

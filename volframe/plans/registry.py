@@ -399,7 +399,7 @@ def grid_qc(spark, d):
 
 def _more() -> None:
     """The modules that register further queries with query()."""
-    from volframe.plans import corpus, features, forecasts, health, markets, serving, surfaces  # noqa: F401
+    from volframe.plans import corpus, features, forecasts, health, markets, serving, stores, surfaces  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
