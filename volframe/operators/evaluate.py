@@ -198,13 +198,15 @@ def _quantiles(known: DataFrame, months: list, coef: np.ndarray, levels: Sequenc
 
 
 def _monthly(rows: DataFrame, target: str, h: int, terms: Mapping[str, Column], alpha: float, least: int, keep: Sequence[str]) -> tuple[DataFrame, DataFrame, list[tuple]]:
-    """Rows with their terms, those of them that some month may learn from, and (month, rows known, coefficients)."""
+    """Rows with their terms (kept, for the caller to give back), those of them that some month may learn from, and (month, rows
+    known, coefficients).
+    """
     k = len(terms)
     closed = F.lead("date", h).over(Window.partitionBy("ticker").orderBy("date"))
     f = rows.withColumn("_closed", closed).select("ticker", "date", F.trunc("date", "month").alias("month"), F.add_months(F.trunc("_closed", "month"), 1).alias("since"), *[c.cast("double").alias(f"x{i}") for i, c in enumerate(terms.values())], log_of(target).alias("y"), *keep)
     xs = [f"x{i}" for i in range(k)]
-    f = f.where(" and ".join(f"{x} is not null" for x in xs))
-    known = kept(f.where("y is not null and since is not null").select("since", "y", *xs))
+    f = kept(f.where(" and ".join(f"{x} is not null" for x in xs)))
+    known = f.where("y is not null and since is not null").select("since", "y", *xs)
     cross = [F.sum(F.col(a) * F.col(b)).alias(a + b) for i, a in enumerate(xs) for b in (*xs[i:], "y")]
     parts = known.groupBy("since").agg(F.count("*").alias("n"), F.sum("y").alias("y"), *[F.sum(x).alias(x) for x in xs], *cross).orderBy("since").collect()
     months = [r.month for r in f.select("month").distinct().orderBy("month").collect()]
@@ -223,8 +225,8 @@ def _monthly(rows: DataFrame, target: str, h: int, terms: Mapping[str, Column],
 def coefficients(rows: DataFrame, target: str, h: int, terms: Sequence[str] | Mapping[str, Column], alpha: float = 0.0, least: int = 250) -> DataFrame:
     """month, n_train, term, coefficient of the monthly refits that walk_forward makes; the intercept's term is `const`."""
     terms = terms if isinstance(terms, Mapping) else {c: log_of(c) for c in terms}
-    _, known, models = _monthly(rows, target, h, terms, alpha, least, ())
-    known.unpersist()
+    f, _, models = _monthly(rows, target, h, terms, alpha, least, ())
+    f.unpersist()
     return rows.sparkSession.createDataFrame([(m, n, t, float(c)) for m, n, cs in models for t, c in zip(("const", *terms), cs, strict=True)], "month date, n_train int, term string, coefficient double")
 
 
@@ -241,7 +243,7 @@ def walk_forward(rows: DataFrame, target: str, h: int, terms: Sequence[str] | Ma
     terms = terms if isinstance(terms, Mapping) else {c: log_of(c) for c in terms}
     f, known, models = _monthly(rows, target, h, terms, alpha, least, keep)
     spread = _quantiles(known, [m for m, _, _ in models], np.array([c for _, _, c in models]), levels) if models else {}
-    known.unpersist()
+    f.unpersist()  # what was needed of it is in models; the forecasts read the rows once more
     models = rows.sparkSession.createDataFrame([(*model, *spread[i]) for i, model in enumerate(models)], "month date, n_train int, c array<double>, smear double, q array<double>")
     fitted = sum((F.col("c")[i + 1] * F.col(f"x{i}") for i in range(len(terms))), F.col("c")[0])
     out = f.join(F.broadcast(models), "month").withColumn("_fit", fitted)  # a row a month

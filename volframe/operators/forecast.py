@@ -12,6 +12,7 @@ from volframe.operators import evaluate as E
 from volframe.operators.features import calendar_columns, historical_event_variance
 from volframe.operators.realized import by_date, har_dataset
 from volframe.operators.timeseries import forward_sum, trailing
+from volframe.sources.store import kept
 
 # fixed values: implied input of each horizon with its fallback, the days it covers, and the columns of the wide model
 IMPLIED_INPUT = {5: ("atm_7d", "atm_14d"), 21: ("vs_30d", "atm_30d")}
@@ -159,6 +160,35 @@ def compare(forecasts: Mapping[str, DataFrame], actual: DataFrame, h: int, basel
     return scores.join(test, "model", "left")
 
 
+def compare_windows(base: DataFrame, model: DataFrame, horizons=(5, 21)) -> DataFrame:
+    """Two tables of forecasts (see build_forecasts) on the windows that both forecast: by horizon, over all windows, those
+    with a release inside, and those without one.
+
+    n, mean QLIKE of base, model and the raw implied volatility (where it is known), and the Diebold-Mariano test of base
+    against model (above 0: model is better) on losses averaged by date, with the horizon as lag. Which windows hold a
+    release is model's to say. Windows that aren't closed, or whose forecast or outcome isn't positive, don't count.
+    """
+    keys = ["ticker", "date", "horizon"]
+    rows = model.select(*keys, (F.col("forecast_vol") ** 2).alias("_m"), (F.col("realised_vol") ** 2).alias("_y"), (F.col("implied_vol") ** 2).alias("_i"), "event_in_window").join(base.select(*keys, (F.col("forecast_vol") ** 2).alias("_b")), keys)
+    rows = rows.where("_y > 0 and _m > 0 and _b > 0")
+    inside = F.coalesce("event_in_window", F.lit(False))
+    rows = rows.select("date", "horizon", F.explode(F.array(F.lit("all"), F.when(inside, "release").otherwise("no release"))).alias("windows"), *[qlike(F.col("_y"), F.col(c)).alias(n) for c, n in (("_b", "base"), ("_m", "model"), ("_i", "implied"))])
+    by, names = ["horizon", "windows"], ("base", "model", "implied")
+    # a row for each day from here on: scores and tests share one pass over the forecasts
+    daily = kept(rows.groupBy(*by, "date").agg(F.count("*").alias("n"), *[F.sum(c).alias(f"_{c}") for c in names], F.count("implied").alias("_n"), F.avg("base").alias("base"), F.avg("model").alias("model")))
+    scores = daily.groupBy(*by).agg(F.sum("n").alias("n"), *[F.try_divide(F.sum(f"_{c}"), F.sum("_n" if c == "implied" else "n")).alias(c) for c in names])
+    tests = None
+    for h in horizons:
+        t = E.diebold_mariano(daily.where(F.col("horizon") == h), "base", "model", "date", by, h).select(*by, F.col("dm").alias("dm_stat"), F.col("p").alias("dm_p"))
+        tests = t if tests is None else tests.unionByName(t)
+    return scores.join(tests, by, "left")
+
+
+def releases_seen(forecasts: DataFrame) -> DataFrame:
+    """Per ticker the different releases, by the size of their move, that closed windows held."""
+    return forecasts.where("realised_vol is not null and event_in_window").groupBy("ticker").agg(F.count_distinct("ev_move").alias("releases"))
+
+
 def by_regime(forecast: DataFrame, actual: DataFrame, regimes: DataFrame) -> DataFrame:
     """n and mean QLIKE of a forecast in each regime. regimes(date, regime); days without one are left out."""
     rows = forecast.join(actual.select("ticker", "date", "y"), ["ticker", "date"]).where("y > 0 and forecast > 0").join(regimes.where("regime is not null"), "date")

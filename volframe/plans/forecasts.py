@@ -12,6 +12,7 @@ from volframe.operators import realized as R
 from volframe.plans.features import _DAYS_SQL, _HIST_SQL, days
 from volframe.plans.registry import _EVENTS_SQL, _HAR_SQL, _event_sessions, query, r, rounded
 from volframe.sources import fixtures as X
+from volframe.sources.store import kept
 
 
 def _det(rows: list[list[str]]) -> str:
@@ -95,12 +96,12 @@ def event_dataset(spark, d):
     return rounded(f.select("ticker", "date", "ev_day", "ev_next", "ev_in_5", "ev_in_21", "rv_d_ex", "rv_w_ex", "rv_m_ex", "y_5_ex", "y_21_ex", r("ev_hist_var", 10).alias("ev_hist_var")), "rv_d_ex", "rv_w_ex", "rv_m_ex", "y_5_ex", "y_21_ex")
 
 
-def _event_sql(h: int) -> str:
+def _event_sql(h: int, implied: str = ", iv_ex2") -> str:
     a, b = G.IMPLIED_INPUT[h]
     n, m = G.TENOR_DAYS[a], G.TENOR_DAYS[b]
     return f"""p{h} AS (SELECT ds.*, coalesce({a}, {b}) AS iv_in, CASE WHEN {a} IS NOT NULL THEN '{a}' WHEN {b} IS NOT NULL THEN '{b}' END AS iv_src, CASE WHEN {a} IS NOT NULL THEN {n} ELSE {m} END AS tenor, coalesce(earn_implied_move * earn_implied_move, ev_hist_var, 0) AS e2 FROM ds LEFT JOIN im ON im.ticker = ds.ticker AND im.date = ds.date),
 v{h} AS (SELECT *, greatest(iv_in * iv_in - CASE WHEN coalesce(ev_next - date <= tenor, false) THEN e2 * 365 / tenor ELSE 0 END, 0.25 * iv_in * iv_in) AS iv_ex2, CASE WHEN ev_in_{h} THEN 252.0 / {h} * e2 ELSE 0 END AS ev_add, CASE WHEN ev_in_{h} THEN sqrt(e2) END AS ev_move, y_{h} AS y_true FROM p{h}),
-{walk_sql(f'w{h}', f'v{h}', f'y_{h}_ex', h, ['rv_d_ex', 'rv_w_ex', 'rv_m_ex', 'iv_ex2'], keep=', rv_m, iv_in, iv_src, ev_add, ev_move, y_true')}"""
+{walk_sql(f'w{h}', f'v{h}', f'y_{h}_ex', h, ['rv_d_ex', 'rv_w_ex', 'rv_m_ex', *implied.split(', ')[1:]], keep=', rv_m, iv_in, iv_src, ev_add, ev_move, y_true')}"""
 
 
 @query(f"""{_DATA_SQL}, {_IMPLIED_SQL.format('har')}, {_event_sql(5)}, {_event_sql(21)}, w AS (SELECT * FROM w5 UNION ALL SELECT * FROM w21)
@@ -108,7 +109,7 @@ SELECT ticker, date, horizon, round(sqrt(forecast + ev_add), 5) AS forecast_vol,
  round(sqrt(y_true), 6) AS realised_vol, month AS refit_date, n_train, ev_add > 0 AS event_in_window, round(ev_move, 6) AS ev_move FROM w""")
 def event_forecasts(spark, d):
     """HAR and implied volatility without releases, whose variance is added back where one falls in the window."""
-    rows = _implied(G.event_dataset(X.bars(spark, d), _event_sessions(spark, d), days(spark, d)))
+    rows = kept(_implied(G.event_dataset(X.bars(spark, d), _event_sessions(spark, d), days(spark, d))))
     f = G.build_forecasts(rows)
     return rounded(rounded(f, "implied_vol", "trailing_vol", "realised_vol", "ev_move"), "forecast_vol", "lo80_vol", "hi80_vol", digits=5)
 
@@ -142,3 +143,26 @@ def losses_by_regime(spark, d):
     f = E.walk_forward(h, "y_5", 5, _TERMS)
     regimes = X.index_wide(spark, d).select("date", E.regime_bin(F.col("vix")).alias("regime"))
     return rounded(G.by_regime(f, h.select("ticker", "date", F.col("y_5").alias("y")), regimes), "qlike")
+
+
+_WINDOWS_SQL = f"""{_DATA_SQL}, {_IMPLIED_SQL.format('har')}, {_event_sql(5, '')}, {_event_sql(21, '')}, {walk_sql('b5', 'ds', 'y_5', 5, _TERMS)}, {walk_sql('b21', 'ds', 'y_21', 21, _TERMS)},
+wj AS (SELECT w.date, w.horizon, w.ticker, b.forecast AS fb, w.forecast + w.ev_add AS fm, w.iv_in * w.iv_in AS fi, w.y_true AS y, w.ev_add > 0 AS ev, w.ev_move FROM (SELECT * FROM w5 UNION ALL SELECT * FROM w21) w JOIN (SELECT * FROM b5 UNION ALL SELECT * FROM b21) b ON b.ticker = w.ticker AND b.date = w.date AND b.horizon = w.horizon)"""
+
+
+@query(f"""{_WINDOWS_SQL}, x AS (SELECT date, horizon, unnest(['all', CASE WHEN ev THEN 'release' ELSE 'no release' END]) AS windows, y / fb - ln(y / fb) - 1 AS lb, y / fm - ln(y / fm) - 1 AS lm, CASE WHEN fi > 0 THEN y / fi - ln(y / fi) - 1 END AS li FROM wj WHERE y > 0 AND fb > 0 AND fm > 0),
+sc AS (SELECT horizon, windows, count(*) AS n, avg(lb) AS base, avg(lm) AS model, avg(li) AS implied FROM x GROUP BY 1, 2), d AS (SELECT horizon, windows, date, avg(lb) - avg(lm) AS diff FROM x GROUP BY 1, 2, 3),
+dc AS (SELECT *, diff - avg(diff) OVER (PARTITION BY horizon, windows) AS c FROM d), l AS (SELECT horizon, windows, avg(diff) AS m, list(c ORDER BY date) AS s FROM dc GROUP BY 1, 2),
+z AS (SELECT horizon, windows, m * len(s) / sqrt(list_inner_product(s, s) + list_sum(list_transform(range(1, horizon + 1), lambda k: 2 * (1 - k / (horizon + 1.0)) * list_inner_product(s[1:len(s) - k], s[k + 1:])))) AS z, len(s) AS k FROM l)
+SELECT sc.horizon, sc.windows, n, round(base, 5) AS base, round(model, 5) AS model, round(implied, 5) AS implied, round(CASE WHEN k >= 10 THEN z END, 3) AS dm_stat FROM sc JOIN z ON z.horizon = sc.horizon AND z.windows = sc.windows""")
+def release_comparison(spark, d):
+    """HAR with releases taken out and added back against plain HAR, over windows with and without a release."""
+    rows = kept(_implied(G.event_dataset(X.bars(spark, d), _event_sessions(spark, d), days(spark, d))))
+    out = G.compare_windows(G.build_forecasts(rows, use_implied=False, events=False), G.build_forecasts(rows, use_implied=False))
+    return rounded(out.drop("dm_p"), "base", "model", "implied", digits=5).withColumn("dm_stat", r("dm_stat", 3))
+
+
+@query(f"{_WINDOWS_SQL} SELECT ticker, count(DISTINCT round(ev_move, 10)) AS releases FROM wj WHERE ev AND y IS NOT NULL GROUP BY 1")
+def releases_in_windows(spark, d):
+    """How many releases the windows of each ticker held."""
+    rows = _implied(G.event_dataset(X.bars(spark, d), _event_sessions(spark, d), days(spark, d)))
+    return G.releases_seen(G.build_forecasts(rows, use_implied=False).withColumn("ev_move", F.round("ev_move", 10)))
