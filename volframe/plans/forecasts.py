@@ -46,7 +46,7 @@ _BOTH = f"{_HAR_SQL}, {walk_sql('w5', 'har', 'y_5', 5, _TERMS)}, {walk_sql('w21'
 
 
 def _har(spark, d):
-    h = R.har_dataset(X.bars(spark, d))
+    h = kept(R.har_dataset(X.bars(spark, d)))
     both = [E.walk_forward(h, f"y_{n}", n, _TERMS).drop("range") for n in (5, 21)]
     return h, both[0].unionByName(both[1])
 
@@ -127,7 +127,7 @@ dm AS (SELECT model, avg(diff) / sqrt(sum(v) / count(*) / count(*)) AS z, -abs(a
 SELECT sc.model, n, round(qlike, 5) AS qlike, round(rmse_vol, 4) AS rmse_vol, round(mae_vol, 4) AS mae_vol, round(bias_vol, 4) AS bias_vol, round(r2_log, 5) AS r2_log, round(z, 3) AS dm_stat, round(2 * {X.ncdf_sql('nz')}, 4) AS dm_p FROM sc LEFT JOIN dm ON dm.model = sc.model""")
 def model_comparison(spark, d):
     """Models on their common days, scored and tested against HAR."""
-    h = _implied(R.har_dataset(X.bars(spark, d)))
+    h = kept(_implied(R.har_dataset(X.bars(spark, d))))
     raw = h.select("ticker", "date", G.implied_variance(21).alias("forecast"))
     fits = {"HAR": G.har(), "Implied (recalibrated)": G.implied_regression(21), "HAR + implied": G.har_iv(21)}
     f = {n: E.walk_forward(h, "y_21", 21, t) for n, t in fits.items()} | {"Implied (raw)": raw}
@@ -139,7 +139,7 @@ def model_comparison(spark, d):
 @query(f"""{_BOTH}, {X.IDX_SQL.strip()}, a AS (SELECT w5.*, y_5 AS y FROM w5 JOIN har USING (ticker, date) WHERE y_5 > 0)
 SELECT CASE WHEN vix <= 15 THEN 'low' WHEN vix <= 25 THEN 'normal' WHEN vix <= 35 THEN 'high' ELSE 'crisis' END AS regime, count(*) AS n, round(avg(y / forecast - ln(y / forecast) - 1), 6) AS qlike FROM a JOIN wide ON wide.date = a.date WHERE vix IS NOT NULL GROUP BY 1""")
 def losses_by_regime(spark, d):
-    h = R.har_dataset(X.bars(spark, d))
+    h = kept(R.har_dataset(X.bars(spark, d)))
     f = E.walk_forward(h, "y_5", 5, _TERMS)
     regimes = X.index_wide(spark, d).select("date", E.regime_bin(F.col("vix")).alias("regime"))
     return rounded(G.by_regime(f, h.select("ticker", "date", F.col("y_5").alias("y")), regimes), "qlike")
@@ -164,5 +164,5 @@ def release_comparison(spark, d):
 @query(f"{_WINDOWS_SQL} SELECT ticker, count(DISTINCT round(ev_move, 10)) AS releases FROM wj WHERE ev AND y IS NOT NULL GROUP BY 1")
 def releases_in_windows(spark, d):
     """How many releases the windows of each ticker held."""
-    rows = _implied(G.event_dataset(X.bars(spark, d), _event_sessions(spark, d), days(spark, d)))
+    rows = kept(_implied(G.event_dataset(X.bars(spark, d), _event_sessions(spark, d), days(spark, d))))
     return G.releases_seen(G.build_forecasts(rows, use_implied=False).withColumn("ev_move", F.round("ev_move", 10)))
