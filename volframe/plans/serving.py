@@ -172,3 +172,34 @@ def ticker_history(spark, d):
     f = R.realized_features(X.bars(spark, d))
     rows = V.history(f, "ASIA", "1996-01-01").join(V.on_or_before(f, F.lit(_AS_OF).cast("date")).select("ticker", F.col("date").alias("_last")), "ticker")
     return rows.where(F.col("date") <= F.col("_last")).select("ticker", "date", r("rv_cc_21d").alias("rv_cc_21d"))
+
+
+@query(f"""WITH {X.BARS_SQL}, {X.CAL_SQL}, fc AS (SELECT ticker, date, horizon, close AS forecast FROM bars, (SELECT unnest([5, 21]) AS horizon) WHERE (dayofyear(date) + horizon) % 3 = 0), n AS (SELECT *, row_number() OVER (PARTITION BY ticker, horizon ORDER BY date DESC) AS k FROM fc WHERE date <= DATE '{_AS_OF}')
+SELECT n.ticker, n.horizon, n.date, round(forecast, 6) AS forecast, e.session AS window_end FROM n LEFT JOIN cal c ON c.session = n.date LEFT JOIN cal e ON e.seq = c.seq + n.horizon WHERE k = 1""")
+def forecast_windows(spark, d):
+    """The newest forecast of each ticker and horizon as of a day, with the session on which its window ends."""
+    b = X.bars(spark, d).select("ticker", "date", F.explode(F.array(F.lit(5), F.lit(21))).alias("horizon"), F.col("close").alias("forecast")).where((F.dayofyear("date") + F.col("horizon")) % 3 == 0)
+    last = V.latest_forecasts(b, F.lit(_AS_OF).cast("date"))
+    return V.window_end(last, X.sessions(spark, d), F.col("horizon")).select("ticker", "horizon", "date", r("forecast").alias("forecast"), "window_end")
+
+
+@query(f"""{_SLICES}, a AS (SELECT ticker, as_of, "T" AS t, (a + b * (-rho * m + sqrt(m * m + sigma * sigma))) / "T" AS v FROM slices), c AS (SELECT ticker, as_of, t, lead(t) OVER w AS t2, v, lead(v) OVER w AS v2 FROM a WINDOW w AS (PARTITION BY ticker, as_of ORDER BY t))
+SELECT ticker, as_of, round(t, 6) AS near, round(t2, 6) AS far, round(v2 * t2 - v * t, 8) AS value FROM c WHERE t2 IS NOT NULL""")
+def calendar_spread_values(spark, d):
+    """Total variance at the money between neighbouring expiries."""
+    from volframe.functions.pricing import svi
+
+    w = Window.partitionBy("ticker", "as_of").orderBy("T")
+    iv = F.sqrt(svi(F.lit(0.0), *map(F.col, ("a", "b", "rho", "m", "sigma"))) / F.col("T"))
+    s = X.slices(spark, d).select("ticker", "as_of", F.col("T").alias("near"), iv.alias("v0")).withColumnRenamed("near", "T")
+    s = s.withColumns({"far": F.lead("T").over(w), "v1": F.lead("v0").over(w)}).where("far is not null")
+    return s.select("ticker", "as_of", r("T").alias("near"), r("far").alias("far"), r(B.calendar_value(F.col("v0"), F.col("v1"), F.col("T"), F.col("far")), 8).alias("value"))
+
+
+@query(f"""{_SLICES} SELECT ticker, as_of, round("T", 6) AS "T", round(a + sigma / 2 * (1 + rho * b * 20 * (0.1 - m) + sqrt(pow(b * 20 * (0.1 - m) + rho, 2) + 1 - rho * rho)), 8) AS w FROM slices""")
+def natural_svi(spark, d):
+    """Total variance at one strike by the natural parametrisation, with the slices' columns as its parameters."""
+    from volframe.functions.pricing import svi_natural
+
+    c = F.col
+    return X.slices(spark, d).select("ticker", "as_of", r("T").alias("T"), r(svi_natural(F.lit(0.1), c("a"), c("m"), c("rho"), c("sigma"), c("b") * 20), 8).alias("w"))
