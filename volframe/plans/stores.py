@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from volframe.plans.registry import query, r
 from volframe.sources import fixtures as X
 from volframe.sources.store import kept, scratch
 from volframe.sources.tables import Tables
+from volframe.streaming.ingest import file_stream, upsert_stream, upserted
 
 
 @query(f"""WITH {X.BARS_SQL}, old AS (SELECT ticker, date, close, volume FROM bars WHERE date < DATE '1997-06-01'), new AS (SELECT ticker, date, CASE WHEN dayofyear(date) % 3 = 0 THEN NULL ELSE close * 1.01 END AS close, adj_close FROM bars WHERE date >= DATE '1996-06-01' AND ticker <> 'ASIA')
@@ -48,3 +51,21 @@ def earnings_store(spark, d):
     t.save("earnings", o.where("k % 3 = 0"))
     t.save("earnings", o.where("k % 3 = 1 and ticker in ('ASIA', 'EUROPE')"))
     return t.load("earnings").select("ticker", "announced", "k")
+
+
+@query("""WITH o AS (SELECT o_custkey AS k, o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice::DOUBLE END AS price, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderstatus END AS status FROM orders)
+SELECT k, round(max_by(price, o_orderkey) FILTER (WHERE price IS NOT NULL), 6) AS price, max(o_orderkey) FILTER (WHERE price IS NOT NULL) AS price_of,
+max_by(status, o_orderkey) FILTER (WHERE status IS NOT NULL) AS status, max(o_orderkey) FILTER (WHERE status IS NOT NULL) AS status_of FROM o GROUP BY k""")
+def stream_upserts(spark, d):
+    """Last known cells per key of a table that two streams keep: the newer half of the rows comes first, the older one late."""
+    target, orders = scratch(spark), X.table(spark, d, "orders")
+    half = orders.agg(F.percentile_approx("o_orderkey", 0.5)).first()[0]
+    price, status = F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice").cast("double")), F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderstatus"))
+    # a pattern, because a stream takes no single file
+    stream = file_stream(spark, f"{d}/orders[.]parquet", orders.schema).select(F.col("o_custkey").alias("k"), "o_orderkey", price.alias("price"), status.alias("status"))
+    for part in (F.col("o_orderkey") > half, F.col("o_orderkey") <= half) if half is not None else ():
+        upsert_stream(stream.where(part), f"{target}/table", ["k"], "o_orderkey", f"{target}/{uuid.uuid4().hex}", buckets=16).awaitTermination()
+    out = upserted(spark, f"{target}/table")
+    if out is None:
+        return orders.select(F.col("o_custkey").alias("k"), price.alias("price"), F.col("o_orderkey").alias("price_of"), status.alias("status"), F.col("o_orderkey").alias("status_of")).limit(0)
+    return out.select("k", r("price").alias("price"), F.col("_version_price").alias("price_of"), "status", F.col("_version_status").alias("status_of"))
