@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from volframe.operators import serving
+from volframe.sources.store import kept
 
 #: Fixed values, the document's format: section -> name -> (feature, factor, digits). Volatilities become percent.
 SECTIONS = {
@@ -100,7 +101,7 @@ def snapshots(features: DataFrame, groups: DataFrame, as_of: Column, forecasts:
     part = lambda spec, row="_r": {name: cell(*x, row) for name, x in spec.items()}
     used = {x[0] for spec in [*SECTIONS.values(), EARNINGS, PEER] for x in spec.values()} | {"date", "spot", "vrp_30d", "earn_next_date"}
     rows = f.groupBy("ticker").agg(F.max_by(F.struct(*[c for c in f.columns if c in used]), "date").alias("_r"), F.count("*").alias("_days"))
-    rows = with_group(rows, groups).persist()  # a row per ticker; peers and the market come from it as well
+    rows = kept(with_group(rows, groups))  # a row per ticker; peers and the market come from it as well
 
     fresh = rows.where(F.datediff(as_of, F.col("_r.date")) <= stale_days).select("ticker", "asset_group", _sorted_struct({"ticker": F.col("ticker"), **part(PEER)}).alias("_p"))
     peers = fresh.groupBy("asset_group").agg(F.collect_list("_p").alias("_peers"))

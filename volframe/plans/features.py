@@ -9,6 +9,7 @@ from volframe.operators import timeseries as T
 from volframe.plans.registry import _EVENTS_SQL, _FEATURES_SQL, _event_sessions, query, r, rounded
 from volframe.plans.surfaces import features_sql
 from volframe.sources import fixtures as X
+from volframe.sources.store import kept
 
 _DAYS_SQL = """dn AS (SELECT day, sum(hit) OVER (ORDER BY day) AS pos FROM (SELECT d::DATE AS day, (isodow(d) <= 5 AND d >= a)::INT AS hit FROM (SELECT unnest(generate_series(a - 1, b + 800, INTERVAL 1 DAY)) AS d, a FROM span)))"""
 _TERM_SQL = """tm AS (SELECT ticker, as_of, "T", expiration, a + b * (-rho * m + sqrt(m * m + sigma * sigma)) AS w FROM slices)"""
@@ -122,7 +123,7 @@ _GIVEN = ["mkt_vix", "mkt_skew", "macro"]  # means of decimals: nine digits, as
 
 def _feature_table(spark, d):
     slices, number, events = X.slices(spark, d), days(spark, d), _event_sessions(spark, d)
-    surface = A.surface_features(slices, spot="spot").withColumnRenamed("as_of", "date").persist()  # dynamics join it with itself
+    surface = kept(A.surface_features(slices, spot="spot").withColumnRenamed("as_of", "date"))  # dynamics join it with itself
     term = A.atm_term(slices).withColumnRenamed("as_of", "date")
     earnings = A.earnings_features(term, events, number, closes=X.bars(spark, d).select("ticker", "date", "close"))
     market = X.index_wide(spark, d).join(X.market_more(spark, d), "date", "full_outer")
